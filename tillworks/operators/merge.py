@@ -82,15 +82,15 @@ def merge_source(raw: DataFrame, stores: DataFrame, payment_methods: DataFrame)
     return resolve_keys(dedup_transactions(raw), stores, payment_methods)
 
 
-def replace_matching(target: DataFrame, source: DataFrame) -> DataFrame:
-    """Target rows whose id is not in the source, and all source rows."""
+def not_in(target: DataFrame, source: DataFrame) -> DataFrame:
+    """Target rows whose transaction_id the source does not have."""
     new_ids = source.select(text_key("transaction_id").alias("_id"))
-    kept = target.join(new_ids, text_key(target["transaction_id"]) == new_ids["_id"], "left_anti")
-    return kept.unionByName(source)
+    return target.join(new_ids, text_key(target["transaction_id"]) == new_ids["_id"], "left_anti")
 
 
 def upsert_transactions(
     target: DataFrame, raw: DataFrame, stores: DataFrame, payment_methods: DataFrame
 ) -> DataFrame:
+    """Transactions after the batch: its rows replace those of the same id, the others stay."""
     source = merge_source(raw, stores, payment_methods)
-    return replace_matching(target.select(*TRANSACTION_COLUMNS), source)
+    return not_in(target.select(*TRANSACTION_COLUMNS), source).unionByName(source)

@@ -4,19 +4,23 @@ import traceback
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tillworks.functions import text_key
+from tillworks.functions.calendar import MONTH_COLUMN
 from tillworks.operators.checks import fk_orphans, pk_violations
 from tillworks.operators.merge import (
     merge_source,
-    replace_matching,
+    not_in,
     upsert_payment_methods,
     upsert_stores,
 )
 from tillworks.schema import TRANSACTION_COLUMNS
-from tillworks.sources.warehouse import Warehouse, months_in
+from tillworks.sources.warehouse import State, Warehouse, months_in
 
 JOB = "run_etl"
+# A month spread over this many run directories is written anew by the next run.
+MAX_RUNS_PER_MONTH = 60
 
 
 @dataclass(frozen=True)
@@ -59,28 +63,40 @@ def _merge(warehouse: Warehouse, raw: DataFrame) -> RunResult:
     new_state = replace(state, run=run, stores_run=run, payment_methods_run=run)
     stores, payment_methods = warehouse.stores(new_state), warehouse.payment_methods(new_state)
 
-    warehouse.write_months(merge_source(raw, stores, payment_methods), run, folder="batches")
-    source = warehouse.written(run, folder="batches")
+    warehouse.write_months(merge_source(raw, stores, payment_methods), run)
+    source = warehouse.written(run)
     check_keys(source, stores, payment_methods)
+    # Counted on the written rows: an accumulator would count a retried task twice.
+    rows, months = source.count(), months_in(source)
 
-    # A known transaction may have moved to another month, so its old month is rewritten as well.
-    # Finding those months reads one column of the facts; the other months are left as they are.
-    months = months_in(source)
-    if state.month_runs:
-        ids = source.select(text_key("transaction_id").alias("_id"))
-        facts = warehouse.transactions(state)
-        months |= months_in(
-            facts.join(ids, text_key(facts["transaction_id"]) == ids["_id"], "left_semi")
-        )
-    old = warehouse.transactions(state, months).select(*TRANSACTION_COLUMNS)
-    merged = replace_matching(old, source.select(*TRANSACTION_COLUMNS))
-    warehouse.write_months(merged, run)
-
-    untouched = {m: r for m, r in state.month_runs.items() if m not in months}
-    written = {m: run for m in months_in(warehouse.written(run))}
-    warehouse.publish(replace(new_state, month_runs=untouched | written))
-    # Counted on the written batch: an accumulator would count a retried task twice.
-    return RunResult(run, source.count(), frozenset(months))
+    rewritten = _months_to_rewrite(warehouse, state, source)
+    if rewritten:
+        # The source is read from a fixed list of files, so appending next to them is safe.
+        old = warehouse.transactions(state, rewritten).select(*TRANSACTION_COLUMNS)
+        warehouse.write_months(not_in(old, source), run, mode="append")
+        months |= rewritten
+
+    runs = {m: r for m, r in state.month_runs.items() if m not in rewritten}
+    for month in months_in(warehouse.written(run)):
+        runs[month] = [*runs.get(month, []), run]
+    warehouse.publish(replace(new_state, month_runs=runs))
+    return RunResult(run, rows, frozenset(months))
+
+
+def _months_to_rewrite(warehouse: Warehouse, state: State, source: DataFrame) -> set[str]:
+    """Months whose stored rows this run replaces in part, or that have become too scattered.
+
+    A known transaction may have moved to another month, so ids are looked up in all months. Only
+    64-bit hashes of the ids are shuffled: two ids with one hash cost a needless rewrite of a
+    month, in which the rows to replace are then found by the ids themselves.
+    """
+    if not state.month_runs:
+        return set()
+    known = warehouse.transactions(state)
+    hashed = known.select(F.xxhash64(text_key("transaction_id")).alias("_hash"), MONTH_COLUMN)
+    new = source.select(F.xxhash64(text_key("transaction_id")).alias("_hash"))
+    scattered = {m for m, runs in state.month_runs.items() if len(runs) >= MAX_RUNS_PER_MONTH}
+    return months_in(hashed.join(new, "_hash", "left_semi")) | scattered
 
 
 def check_keys(transactions: DataFrame, stores: DataFrame, payment_methods: DataFrame) -> None:

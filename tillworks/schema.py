@@ -89,7 +89,7 @@ ETL_AUDIT = T.StructType(
     ]
 )
 
-# One row per committed run: which run directory holds each part of each table.
+# One row per committed run: which run directories hold each table, and each month of the facts.
 PUBLISHED = T.StructType(
     [
         T.StructField("run", T.IntegerType()),
@@ -97,7 +97,7 @@ PUBLISHED = T.StructType(
         T.StructField("stores_run", T.IntegerType()),
         T.StructField("payment_methods_run", T.IntegerType()),
         T.StructField("daily_summary_run", T.IntegerType()),
-        T.StructField("month_runs", T.MapType(T.StringType(), T.IntegerType())),
+        T.StructField("month_runs", T.MapType(T.StringType(), T.ArrayType(T.IntegerType()))),
     ]
 )
 

@@ -3,17 +3,20 @@
     <root>/stores/run=3                              a whole dimension per run
     <root>/payment_methods/run=3
     <root>/daily_summary/run=3
-    <root>/transactions/run=3/sales_month=2024-01    only the months a run touched
+    <root>/transactions/run=3/sales_month=2024-01    the rows a run wrote, by month
     <root>/published                                 one row per committed run
     <root>/error_log, <root>/etl_audit               appended
 
-A reader follows the newest row of `published`, so it sees all tables of a run or none. A failed
-run leaves directories that no row names; the retry overwrites them. One writer at a time.
+A reader follows the newest row of `published`, so it sees all tables of a run or none. A month
+of the facts is the union of the run directories listed for it: a run that only adds rows writes
+only those, and a run that changes a month's rows writes that month anew and drops its older
+directories from the list. A failed run leaves directories that no row names; the retry overwrites
+them. One writer at a time.
 """
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,13 +41,30 @@ _FACT = T.StructType(
 
 @dataclass(frozen=True)
 class State:
-    """What one published run consists of: a run number per table, and per month of the facts."""
+    """What one published run consists of: a run per dimension, and the runs of every month."""
 
     run: int = 0
     stores_run: int | None = None
     payment_methods_run: int | None = None
     daily_summary_run: int | None = None
-    month_runs: dict[str, int] = field(default_factory=dict)
+    month_runs: dict[str, list[int]] = field(default_factory=dict)
+
+
+def typed_row(spark: SparkSession, declared: T.StructType, values: dict | None) -> DataFrame:
+    """One row of the given values, or an empty table; built without Python workers."""
+    rows = spark.range(0 if values is None else 1, numPartitions=1)
+    values = values or {}
+    return rows.select(
+        *[_constant(values.get(f.name)).cast(f.dataType).alias(f.name) for f in declared.fields]
+    )
+
+
+def _constant(value) -> Column:
+    if isinstance(value, dict):
+        return F.create_map(*[_constant(x) for pair in value.items() for x in pair])
+    if isinstance(value, list):
+        return F.array(*[F.lit(x) for x in value])
+    return value if isinstance(value, Column) else F.lit(value)
 
 
 class Warehouse:
@@ -52,7 +72,7 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         for name, table in _TABLES.items():
-            spark.createDataFrame([], table).write.mode("overwrite" if recreate else "ignore").parquet(
+            typed_row(spark, table, None).write.mode("overwrite" if recreate else "ignore").parquet(
                 f"{self.root}/{name}"
             )
 
@@ -73,7 +93,7 @@ class Warehouse:
 
     def _dimension(self, name: str, run: int | None) -> DataFrame:
         if run is None:
-            return self.spark.createDataFrame([], _DIMENSIONS[name])
+            return typed_row(self.spark, _DIMENSIONS[name], None)
         return self.spark.read.schema(_DIMENSIONS[name]).parquet(f"{self.root}/{name}/run={run}")
 
     def stores(self, state: State | None = None) -> DataFrame:
@@ -92,12 +112,13 @@ class Warehouse:
         month_runs = (state or self.state()).month_runs
         paths = [
             f"{self.root}/transactions/run={run}/{MONTH_COLUMN}={month}"
-            for month, run in sorted(month_runs.items())
+            for month, runs in sorted(month_runs.items())
             if months is None or month in months
+            for run in runs
         ]
         columns = [*S.TRANSACTION_COLUMNS, MONTH_COLUMN]
         if not paths:
-            return self.spark.createDataFrame([], _FACT).select(*columns)
+            return typed_row(self.spark, _FACT, None).select(*columns)
         reader = self.spark.read.schema(_FACT).option("basePath", f"{self.root}/transactions")
         return reader.parquet(*paths).select(*columns)
 
@@ -108,52 +129,36 @@ class Warehouse:
         typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in declared.fields])
         typed.write.mode("overwrite").parquet(f"{self.root}/{name}/run={run}")
 
-    def write_months(self, df: DataFrame, run: int, folder: str = "transactions") -> None:
+    def write_months(self, df: DataFrame, run: int, mode: str = "overwrite") -> None:
         """Write facts by month, sorted by date in each file for min/max skipping.
 
         The rebalance brings a month together, splits it into files of the advisory size however
         large it is, and packs small months into one task.
         """
-        if MONTH_COLUMN not in df.columns:
-            df = with_month(df)
         (
-            df.hint("rebalance", MONTH_COLUMN)
+            with_month(df)
+            .hint("rebalance", MONTH_COLUMN)
             .sortWithinPartitions(MONTH_COLUMN, "transaction_date")
-            .write.mode("overwrite")
+            .write.mode(mode)
             .partitionBy(MONTH_COLUMN)
-            .parquet(f"{self.root}/{folder}/run={run}")
+            .parquet(f"{self.root}/transactions/run={run}")
         )
 
-    def written(self, run: int, folder: str = "transactions") -> DataFrame:
+    def written(self, run: int) -> DataFrame:
         """What write_months wrote for this run, published or not."""
         declared = T.StructType(S.TRANSACTIONS.fields + [T.StructField(MONTH_COLUMN, T.StringType())])
-        return self.spark.read.schema(declared).parquet(f"{self.root}/{folder}/run={run}")
+        return self.spark.read.schema(declared).parquet(f"{self.root}/transactions/run={run}")
 
     def publish(self, state: State) -> None:
         """Commit: from this append on, readers see the run."""
-        values = {"published_at": None, **vars(state)}
-        (
-            self.spark.createDataFrame(
-                [tuple(values[f] for f in S.PUBLISHED.fieldNames())], S.PUBLISHED
-            )
-            .withColumn("published_at", F.localtimestamp())
-            .coalesce(1)
-            .write.mode("append")
-            .parquet(f"{self.root}/published")
-        )
+        row = typed_row(self.spark, S.PUBLISHED, vars(state) | {"published_at": F.localtimestamp()})
+        row.write.mode("append").parquet(f"{self.root}/published")
 
     def append_log(self, name: str, id_column: str, time_column: str, values: dict) -> None:
         """Append one row to a log with the next id and the current time."""
-        declared = _TABLES[name]
         last = self.table(name).agg(F.coalesce(F.max(id_column), F.lit(0))).first()[0]
-        row = {f: None for f in declared.fieldNames()} | values | {id_column: last + 1}
-        (
-            self.spark.createDataFrame([tuple(row[f] for f in declared.fieldNames())], declared)
-            .withColumn(time_column, F.localtimestamp())
-            .coalesce(1)
-            .write.mode("append")
-            .parquet(f"{self.root}/{name}")
-        )
+        stamped = values | {id_column: last + 1, time_column: F.localtimestamp()}
+        typed_row(self.spark, _TABLES[name], stamped).write.mode("append").parquet(f"{self.root}/{name}")
 
 
 def with_month(df: DataFrame) -> DataFrame:
