@@ -23,27 +23,27 @@ SAMPLES = 5
 
 
 def _transactions_initial(m: Mart) -> DataFrame:
-    return initial_load.transactions_initial(m.raw, *m.initial_dimensions())
+    return initial_load.transactions_initial(m.raw, *m.initial_dimensions)
 
 
 def _upsert_stores(m: Mart) -> DataFrame:
-    stores, methods, _ = m.first_load()
-    return merge.upsert_stores(stores, m.batches()[1])
+    stores, _, _ = m.first_load
+    return merge.upsert_stores(stores, m.batches[1])
 
 
 def _upsert_payment_methods(m: Mart) -> DataFrame:
-    stores, methods, _ = m.first_load()
-    return merge.upsert_payment_methods(methods, m.batches()[1])
+    _, methods, _ = m.first_load
+    return merge.upsert_payment_methods(methods, m.batches[1])
 
 
 def _upsert_transactions(m: Mart) -> DataFrame:
-    stores, methods, target = m.first_load()
-    return merge.upsert_transactions(target, m.batches()[1], *m.merged_dimensions(stores, methods))
+    _, _, target = m.first_load
+    return merge.upsert_transactions(target, m.batches[1], *m.merged_dimensions)
 
 
 def _run_metrics(m: Mart) -> DataFrame:
-    _, _, target = m.first_load()
-    return checks.run_metrics(m.batches()[1], target)
+    _, _, target = m.first_load
+    return checks.run_metrics(m.batches[1], target)
 
 
 def _csv_load(m: Mart) -> DataFrame:
@@ -121,7 +121,7 @@ _QUERIES: dict[str, Callable[[Mart], DataFrame]] = {
     "error_samples": lambda m: checks.error_samples(checks.quarantine(m.raw, AS_OF), SAMPLES),
     "run_metrics": _run_metrics,
     "pk_violations": lambda m: checks.pk_violations(_transactions_initial(m)),
-    "fk_orphans": lambda m: checks.fk_orphans(m.facts, *m.initial_dimensions()),
+    "fk_orphans": lambda m: checks.fk_orphans(m.facts, *m.initial_dimensions),
 }
 
 

@@ -57,27 +57,47 @@ class Mart:
     def facts(self) -> DataFrame:
         return self.warehouse.transactions()
 
+    def _saved(self, name: str, table: DataFrame) -> DataFrame:
+        """Write a table once and read it back, so that the planner knows its true size."""
+        path = f"{self.folder}/{name}"
+        table.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(table.schema).parquet(path)
+
+    @cached_property
     def batches(self) -> tuple[DataFrame, DataFrame]:
-        first = (F.col("redelivery") == 0) & (
-            F.col("transaction_date") < F.lit(SECOND_BATCH_FROM).cast("timestamp_ntz")
+        first = F.coalesce(
+            (F.col("redelivery") == 0)
+            & (F.col("transaction_date") < F.lit(SECOND_BATCH_FROM).cast("timestamp_ntz")),
+            F.lit(False),
         )
         rows = self._delivered
         return rows.filter(first).select(*RAW_COLUMNS), rows.filter(~first).select(*RAW_COLUMNS)
 
+    @cached_property
     def initial_dimensions(self) -> tuple[DataFrame, DataFrame]:
-        return stores_initial(self.raw), payment_methods_initial(self.raw)
+        return (
+            self._saved("initial_stores", stores_initial(self.raw)),
+            self._saved("initial_payment_methods", payment_methods_initial(self.raw)),
+        )
 
+    @cached_property
     def first_load(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Stores, payment methods and transactions after an initial load of the first batch."""
-        first, _ = self.batches()
-        stores, methods = stores_initial(first), payment_methods_initial(first)
-        return stores, methods, transactions_initial(dedup_transactions(first), stores, methods)
-
-    def merged_dimensions(
-        self, stores: DataFrame, methods: DataFrame
-    ) -> tuple[DataFrame, DataFrame]:
-        _, second = self.batches()
-        return upsert_stores(stores, second), upsert_payment_methods(methods, second)
+        first, _ = self.batches
+        stores = self._saved("first_stores", stores_initial(first))
+        methods = self._saved("first_payment_methods", payment_methods_initial(first))
+        loaded = transactions_initial(dedup_transactions(first), stores, methods)
+        return stores, methods, self._saved("first_transactions", loaded)
+
+    @cached_property
+    def merged_dimensions(self) -> tuple[DataFrame, DataFrame]:
+        """The dimensions once the second batch is merged into the first load."""
+        stores, methods, _ = self.first_load
+        _, second = self.batches
+        return (
+            self._saved("merged_stores", upsert_stores(stores, second)),
+            self._saved("merged_payment_methods", upsert_payment_methods(methods, second)),
+        )
 
 
 _marts: dict[tuple[str, str], Mart] = {}

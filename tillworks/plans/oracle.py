@@ -97,7 +97,7 @@ _IS_FIRST = f"redelivery = 0 AND transaction_date < TIMESTAMP '{SECOND_BATCH_FRO
 # The first batch loaded, the second merged into it.
 _MERGED = f""",
 batch1 AS (SELECT {_RAW} FROM pos_all WHERE {_IS_FIRST}),
-batch2 AS (SELECT {_RAW} FROM pos_all WHERE NOT ({_IS_FIRST})),
+batch2 AS (SELECT {_RAW} FROM pos_all WHERE NOT coalesce({_IS_FIRST}, false)),
 stores1 AS ({_stores("batch1", "store_name IS NOT NULL AND city IS NOT NULL")}),
 pay1 AS ({_methods("batch1")}),
 source1 AS ({_dedup("batch1")}),

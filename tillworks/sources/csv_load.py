@@ -29,8 +29,8 @@ def read_csv(
 ) -> DataFrame:
     """The 11 typed columns plus `reject_reason`, NULL for a good row.
 
-    Files: comma-separated, RFC 4180 quotes, one header line, UTF-8; an unquoted empty field is
-    NULL. Columns are read as text and cast one by one, so a bad value names its column instead of
+    Files: comma-separated, RFC 4180 quotes, one header line, UTF-8; an empty field, quoted or
+    not, is NULL. Columns are read as text and cast one by one, so a bad value names its column instead of
     failing the job. Set `multi_line` for files whose quoted fields hold line breaks: such a file
     cannot be split, so many files of moderate size read faster than one large one.
     """
