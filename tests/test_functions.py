@@ -16,6 +16,7 @@ from tillworks.functions import (
     full_price,
     in_month,
     in_year,
+    money_sum,
     percent_of,
     text_key,
     week_of_year,
@@ -95,3 +96,27 @@ def test_target_bands_have_exact_edges(spark):
     df = spark.createDataFrame([(Decimal(s),) for s in sales], "s decimal(38,2)")
     got = [r[0].split()[0] for r in df.select(performance(F.col("s"), target, band)).collect()]
     assert got == ["Below", "Meets", "Meets", "Meets", "Meets", "Beyond"]
+
+
+@pytest.mark.parametrize(
+    "amounts",
+    [
+        ["9999999999.99"] * 50,
+        ["-0.01", "-1.50", "-1048576.99", "-9999999999.99", "0.00", None],
+        ["1048575.99", "1048576.00", "1048576.01", "0.99", "-3.10"],
+        [None, None],
+        [],
+    ],
+)
+def test_money_sum_is_the_exact_sum(spark, amounts):
+    values = [None if a is None else Decimal(a) for a in amounts]
+    df = spark.createDataFrame([(v,) for v in values], "a decimal(12,2)").agg(money_sum("a").alias("s"), F.sum("a").alias("p"))
+    assert df.dtypes[0] == ("s", "decimal(38,2)")
+    present = [v for v in values if v is not None]
+    assert tuple(df.first()) == ((sum(present), sum(present)) if present else (None, None))
+
+
+def test_money_sum_on_random_amounts(spark):
+    df = spark.range(20000).select(((F.rand(5) - 0.3) * 2e6).cast("decimal(12,2)").alias("a"), (F.col("id") % 7).alias("g"))
+    rows = df.groupBy("g").agg(money_sum("a").alias("s"), F.sum("a").alias("p")).collect()
+    assert len(rows) == 7 and all(r["s"] == r["p"] for r in rows)

@@ -218,20 +218,15 @@ def test_daily_summary(data, rows):
     assert set(got) == set(days)
 
     def leader(names):
-        """Most frequent name under the text key, shown in its smallest spelling; ties by that."""
-        spellings = defaultdict(list)
-        for name in names:
-            spellings[name and name.rstrip().upper()].append(name)
-        ranked = [(-len(v), v[0] is not None, v[0] and min(v)) for v in spellings.values()]
-        return min(ranked, key=lambda r: (r[0], r[1], r[2] or ""))[2] if ranked else None
-
-    name, city = {i: n for i, n, _ in STORES}, {i: c for i, _, c in STORES}
+        counts = Counter(names)
+        return min(counts, key=lambda n: (-counts[n], n is not None, n or "")) if counts else None
+
     for day, g in days.items():
         placed = [r["store_id"] for r in g if r["store_id"]]
         assert got[day]["total_transactions"] == len(g)
         assert got[day]["total_revenue"] == total(g)
-        assert got[day]["top_city"] == leader(city[i] for i in placed)
-        assert got[day]["top_store"] == leader(name[i] for i in placed)
+        assert got[day]["top_city"] == leader(CITY[i] for i in placed)
+        assert got[day]["top_store"] == leader(SHOWN[NAME[i]] for i in placed)
 
 
 def test_daily_summary_ties_and_days_without_store(facts, stores):

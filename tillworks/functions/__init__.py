@@ -2,7 +2,7 @@
 
 from tillworks.functions.calendar import as_of_time, in_month, in_year, month_of, week_of_year
 from tillworks.functions.flags import count_if_null, count_when, discounted, full_price
-from tillworks.functions.money import average_ticket, money_sum, percent_of
+from tillworks.functions.money import average_ticket, money_sum, percent_of, total_of_sums
 from tillworks.functions.text import blank_to_null, same_city, text_key, trimmed_upper
 
 __all__ = [
@@ -20,6 +20,7 @@ __all__ = [
     "percent_of",
     "same_city",
     "text_key",
+    "total_of_sums",
     "trimmed_upper",
     "week_of_year",
 ]

@@ -17,6 +17,7 @@ from tillworks.functions import (
     money_sum,
     percent_of,
     text_key,
+    total_of_sums,
 )
 from tillworks.operators.grouping import merge_spellings, total_by_text
 from tillworks.operators.ordering import rank_descending
@@ -83,24 +84,24 @@ def revenue_overview(facts: DataFrame) -> DataFrame:
 
 
 def revenue_by_city(facts: DataFrame, stores: DataFrame) -> DataFrame:
-    totals = by_dimension(facts, stores, "store_id", "city", {"total_revenue": F.sum(AMOUNT)})
+    totals = by_dimension(facts, stores, "store_id", "city", {"total_revenue": money_sum(AMOUNT)})
     return money(totals, "total_revenue").orderBy(F.desc("total_revenue"), "city")
 
 
 def revenue_per_store(facts: DataFrame, stores: DataFrame) -> DataFrame:
-    totals = by_dimension(facts, stores, "store_id", "store_name", {"total_revenue": F.sum(AMOUNT)})
+    totals = by_dimension(facts, stores, "store_id", "store_name", {"total_revenue": money_sum(AMOUNT)})
     return money(totals, "total_revenue")
 
 
 def city_revenue_rank(facts: DataFrame, stores: DataFrame, top: int = 5) -> DataFrame:
     """Cities ranked within themselves, as the report is defined, so every rank is 1."""
-    totals = by_dimension(facts, stores, "store_id", "city", {"total_revenue": F.sum(AMOUNT)})
+    totals = by_dimension(facts, stores, "store_id", "city", {"total_revenue": money_sum(AMOUNT)})
     return _ranked_in_city(money(totals, "total_revenue"), top).orderBy("city", "revenue_rank")
 
 
 def top_stores_per_city(facts: DataFrame, stores: DataFrame, top: int = 5) -> DataFrame:
     """The stores with the most revenue in every city; ties share a rank."""
-    totals = totals_per_id(facts, ["store_id"], {"total_revenue": F.sum(AMOUNT)}).join(stores, "store_id")
+    totals = totals_per_id(facts, ["store_id"], {"total_revenue": money_sum(AMOUNT)}).join(stores, "store_id")
     named = merge_spellings(totals, ["city", "store_name"], {"total_revenue": F.sum("total_revenue")})
     return _ranked_in_city(money(named, "total_revenue"), top).orderBy(
         "city", "revenue_rank", "store_name"
@@ -115,7 +116,7 @@ def _ranked_in_city(totals: DataFrame, top: int) -> DataFrame:
 
 def store_revenue_share(facts: DataFrame, stores: DataFrame) -> DataFrame:
     totals = revenue_per_store(facts, stores)
-    everything = totals.agg(money_sum("total_revenue").alias("everything")).scalar()
+    everything = totals.agg(total_of_sums("total_revenue").alias("everything")).scalar()
     return totals.withColumn(
         "revenue_percentage", percent_of(F.col("total_revenue"), everything)
     ).orderBy(F.desc("total_revenue"), "store_name")
@@ -133,7 +134,7 @@ def top_revenue_days(facts: DataFrame, top: int = 10) -> DataFrame:
 
 def best_cashiers(facts: DataFrame) -> DataFrame:
     totals = total_by_text(
-        facts, ["cashier_id"], {"TotalItems": F.sum("items_count"), "TotalSales": F.sum(AMOUNT)}
+        facts, ["cashier_id"], {"TotalItems": F.sum("items_count"), "TotalSales": money_sum(AMOUNT)}
     )
     return money(totals, "TotalSales").orderBy(F.desc("TotalSales"), "cashier_id")
 
@@ -142,7 +143,7 @@ def cashier_rank(facts: DataFrame) -> DataFrame:
     totals = total_by_text(
         facts,
         ["cashier_id"],
-        {"transactions_count": F.count("*"), "total_revenue": F.sum(AMOUNT)},
+        {"transactions_count": F.count("*"), "total_revenue": money_sum(AMOUNT)},
     )
     ranked = rank_descending(money(totals, "total_revenue"), "total_revenue", "sales_rank")
     return ranked.select(
@@ -163,7 +164,7 @@ def payment_revenue(facts: DataFrame, payment_methods: DataFrame) -> DataFrame:
         payment_methods,
         "payment_id",
         "payment_method",
-        {"transaction_count": F.count("*"), "total_revenue": F.sum(AMOUNT)},
+        {"transaction_count": F.count("*"), "total_revenue": money_sum(AMOUNT)},
     )
     return money(totals, "total_revenue").orderBy(F.desc("total_revenue"), "payment_method")
 
@@ -176,7 +177,7 @@ def payment_discounts(facts: DataFrame, payment_methods: DataFrame) -> DataFrame
         "payment_method",
         {
             "transaction_count": F.count("*"),
-            "total_revenue": F.sum(AMOUNT),
+            "total_revenue": money_sum(AMOUNT),
             "discounted_transactions": count_when(discounted()),
             "full_price_transactions": count_when(full_price()),
         },
@@ -187,7 +188,7 @@ def payment_discounts(facts: DataFrame, payment_methods: DataFrame) -> DataFrame
 def payment_by_store(
     facts: DataFrame, stores: DataFrame, payment_methods: DataFrame
 ) -> DataFrame:
-    measures = {"total_transactions": F.count("transaction_id"), "total_sales_amount": F.sum(AMOUNT)}
+    measures = {"total_transactions": F.count("transaction_id"), "total_sales_amount": money_sum(AMOUNT)}
     totals = (
         totals_per_id(facts, ["store_id", "payment_id"], measures)
         .join(stores.select("store_id", "store_name"), "store_id")

@@ -27,7 +27,7 @@ def daily_summary(facts: DataFrame, stores: DataFrame) -> DataFrame:
     """
     measures = {
         "total_transactions": F.count("*"),
-        "total_revenue": F.sum(AMOUNT),
+        "total_revenue": money_sum(AMOUNT),
         "transactions_with_discount": count_when(discounted()),
         "transactions_without_discount": count_when(full_price()),
         "total_loyalty_points": F.sum("loyalty_points_earned"),
@@ -35,22 +35,18 @@ def daily_summary(facts: DataFrame, stores: DataFrame) -> DataFrame:
     per_store = facts.groupBy(F.to_date("transaction_date").alias("report_date"), "store_id").agg(
         *[m.alias(n) for n, m in measures.items()]
     )
-    known = stores.select("store_id", "store_name", "city", F.lit(True).alias("_known"))
-    located = per_store.join(known, "store_id", "left").select(
+    labelled = _one_spelling(_one_spelling(stores, "city"), "store_name").withColumn("_known", F.lit(True))
+    located = per_store.join(labelled, "store_id", "left").select(
         "report_date",
-        text_key("city").alias("_city"),
-        text_key("store_name").alias("_store"),
         "city",
         "store_name",
         # Only transactions of a known store count towards the leaders.
         F.when(F.col("_known"), F.col("total_transactions")).alias("_located"),
         *measures,
     )
-    day, city, store = F.col("report_date"), F.col("_city"), F.col("_store")
+    day, city, store = F.col("report_date"), F.col("city"), F.col("store_name")
     levels = located.groupingSets([[day], [day, city], [day, store]], day, city, store).agg(
         F.grouping_id(day, city, store).alias("_level"),
-        F.min("city").alias("city"),
-        F.min("store_name").alias("store_name"),
         F.sum("_located").alias("_located"),
         *[F.sum(n).alias(n) for n in measures],
     )
@@ -58,15 +54,29 @@ def daily_summary(facts: DataFrame, stores: DataFrame) -> DataFrame:
     whole_day, by_city, by_store = 0b011, 0b001, 0b010
 
     def leader(name: str, level: int) -> Column:
+        """Most transactions first, then the smallest name."""
         at_level = (F.col("_level") == level) & F.col("_located").isNotNull()
-        return F.min_by(name, F.when(at_level, F.struct(-F.col("_located"), F.col(name)))).alias(f"top_{name}")
+        return F.min_by(name, F.when(at_level, F.struct(-F.col("_located"), F.col(name))))
 
     days = levels.groupBy("report_date").agg(
         *[F.sum(F.when(F.col("_level") == whole_day, F.col(n))).alias(n) for n in measures],
-        leader("city", by_city),
-        leader("store_name", by_store),
+        leader("city", by_city).alias("top_city"),
+        leader("store_name", by_store).alias("top_store"),
+    )
+    return money(days, "total_revenue")
+
+
+def _one_spelling(dimension: DataFrame, column: str) -> DataFrame:
+    """Replace each spelling of a dimension's text by the smallest one with the same text_key.
+
+    Done on the dimension, so that the facts can be grouped by hash on the text as it is.
+    """
+    smallest = dimension.groupBy(text_key(column).alias("_key")).agg(F.min(column).alias("_smallest"))
+    return (
+        dimension.join(smallest, text_key(dimension[column]) == smallest["_key"], "left")
+        .withColumn(column, F.col("_smallest"))
+        .drop("_key", "_smallest")
     )
-    return money(days.withColumnRenamed("top_store_name", "top_store"), "total_revenue")
 
 
 def load_daily_summary(

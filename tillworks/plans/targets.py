@@ -49,7 +49,7 @@ def store_target_all(
     facts: DataFrame, stores: DataFrame, month: str, target: Decimal = TARGET, band: Decimal = BAND
 ) -> DataFrame:
     """Every store's month against the target."""
-    measures = {"TotalItems": F.sum("items_count"), "TotalSales": F.sum(AMOUNT)}
+    measures = {"TotalItems": F.sum("items_count"), "TotalSales": money_sum(AMOUNT)}
     totals = totals_per_id(in_month(facts, month), ["store_id"], measures).join(
         stores.select("store_id", "store_name"), "store_id"
     )

@@ -19,6 +19,9 @@ def local_session(cores: int | str = "*", app: str = "tillworks", **conf: str) -
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(n))
         .config("spark.driver.memory", "8g")
+        # Local data is small: cut it finer than the cluster defaults, so that every core has work.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
+        .config("spark.sql.files.maxRecordsPerFile", "25000")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
