@@ -7,10 +7,26 @@ from pyspark.sql import types as T
 from tillworks.schema import RAW, RAW_COLUMNS, TEXT_WIDTHS
 
 _BROKEN = "_broken_line"
-_TEXT_SCHEMA = T.StructType(
+TEXT_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType()) for c in RAW_COLUMNS] + [T.StructField(_BROKEN, T.StringType())]
 )
 
+STAGED = T.StructType(
+    RAW.fields
+    + [T.StructField("reject_reason", T.StringType()), T.StructField("rejected", T.BooleanType())]
+)
+# The format of the delivered files.
+CSV_OPTIONS = {
+    "header": True,
+    "enforceSchema": True,
+    "sep": ",",
+    "quote": '"',
+    "escape": '"',
+    "encoding": "UTF-8",
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": _BROKEN,
+}
+
 
 def _timestamp(text: Column, pattern: str | None) -> Column:
     if pattern is None:
@@ -34,17 +50,7 @@ def read_csv(
     failing the job. Set `multi_line` for files whose quoted fields hold line breaks: such a file
     cannot be split, so many files of moderate size read faster than one large one.
     """
-    text = spark.read.schema(_TEXT_SCHEMA).csv(
-        path,
-        header=True,
-        enforceSchema=True,
-        quote='"',
-        escape='"',
-        encoding="UTF-8",
-        mode="PERMISSIVE",
-        columnNameOfCorruptRecord=_BROKEN,
-        multiLine=multi_line,
-    )
+    text = spark.read.schema(TEXT_SCHEMA).csv(path, multiLine=multi_line, **CSV_OPTIONS)
     return typed_rows(text, timestamp_pattern)
 
 
@@ -92,11 +98,10 @@ def stage_csv(
 
 
 def read_staging(spark: SparkSession, staging: str) -> tuple[DataFrame, DataFrame]:
-    schema = T.StructType(
-        RAW.fields
-        + [T.StructField("reject_reason", T.StringType()), T.StructField("rejected", T.BooleanType())]
-    )
-    table = spark.read.schema(schema).parquet(staging)
+    return split_staged(spark.read.schema(STAGED).parquet(staging))
+
+
+def split_staged(table: DataFrame) -> tuple[DataFrame, DataFrame]:
     good = table.filter(~F.col("rejected")).select(*RAW_COLUMNS)
     bad = table.filter(F.col("rejected")).select(*RAW_COLUMNS, "reject_reason")
     return good, bad
