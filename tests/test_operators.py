@@ -196,7 +196,7 @@ def test_quarantine_gives_every_reason(raw):
 
 def test_error_samples_are_few_per_reason(raw):
     rows = [{"transaction_id": None, "receipt_number": f"R{i:02d}", "transaction_date": f"2024-01-{i + 1:02d} 00:00:00"} for i in range(20)]
-    got = error_samples(quarantine(raw(*rows)), 3)
+    got = error_samples(raw(*rows), per_reason=3)
     assert rows_of(got, "receipt_number", "sample") == [("R00", 1), ("R01", 2), ("R02", 3)]
 
 

@@ -1,14 +1,16 @@
 """Rows that break a rule: set aside, counted or sampled."""
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillworks.functions import as_of_time, text_key
 from tillworks.operators.dedup import dedup_transactions
 from tillworks.schema import RAW_COLUMNS
+from tillworks.session import saved
 
 
 def pk_violations(transactions: DataFrame) -> DataFrame:
@@ -48,41 +50,69 @@ def fk_orphans(
     return used.join(known, ["key_column", "key_value"], "left_anti")
 
 
-def quarantine(raw: DataFrame, as_of: dt.datetime | str | None = None) -> DataFrame:
-    """Suspect rows with one output row per reason.
+REPEATED_RECEIPT = "repeated receipt_number"
 
-    A missing id keeps a row out of the transactions; the other reasons only flag it. Repeated
-    receipts are counted first and joined back, never gathered per receipt.
-    """
-    repeated = (
+
+def _faults(as_of: dt.datetime | str | None) -> dict[str, Column]:
+    """The reasons that show in the row itself."""
+    ts = F.col("transaction_date")
+    return {
+        "missing transaction_id": F.col("transaction_id").isNull(),
+        "missing transaction_date": ts.isNull(),
+        "future transaction_date": ts > as_of_time(as_of),
+    }
+
+
+def _repeated_receipts(raw: DataFrame) -> DataFrame:
+    """Receipts on more than one row, counted with partial sums and never gathered per receipt."""
+    counts = (
         raw.filter(F.col("receipt_number").isNotNull())
         .groupBy(text_key("receipt_number").alias("_receipt"))
         .agg(F.count("*").alias("_copies"))
-        .filter(F.col("_copies") > 1)
     )
+    return saved(counts.filter(F.col("_copies") > 1).select("_receipt"))
+
+
+def quarantine(raw: DataFrame, as_of: dt.datetime | str | None = None) -> DataFrame:
+    """Suspect rows with one output row per reason.
+
+    A missing id keeps a row out of the transactions; the other reasons only flag it.
+    """
+    repeated = _repeated_receipts(raw)
     flagged = raw.select(*RAW_COLUMNS).join(
         repeated, text_key(raw["receipt_number"]) == repeated["_receipt"], "left"
     )
-    ts = F.col("transaction_date")
-    reasons = F.array_compact(
-        F.array(
-            F.when(F.col("transaction_id").isNull(), "missing transaction_id"),
-            F.when(ts.isNull(), "missing transaction_date"),
-            F.when(ts > as_of_time(as_of), "future transaction_date"),
-            F.when(F.col("_copies").isNotNull(), "repeated receipt_number"),
-        )
+    faults = _faults(as_of) | {REPEATED_RECEIPT: F.col("_receipt").isNotNull()}
+    suspect = reduce(Column.__or__, [F.coalesce(f, F.lit(False)) for f in faults.values()])
+    reasons = F.array(*[F.when(fault, F.lit(reason)) for reason, fault in faults.items()])
+    return (
+        flagged.filter(suspect)
+        .select(*RAW_COLUMNS, F.explode(reasons).alias("reason"))
+        .filter(F.col("reason").isNotNull())
     )
-    return flagged.select(*RAW_COLUMNS, F.explode(reasons).alias("reason"))
 
 
-def error_samples(quarantined: DataFrame, per_reason: int = 5) -> DataFrame:
-    """The first rows of every reason, to be shown next to the error log."""
-    order = ["transaction_date", "transaction_id", *[c for c in RAW_COLUMNS if c not in ("transaction_date", "transaction_id")]]
-    first = W.partitionBy("reason").orderBy(*[F.asc_nulls_first(c) for c in order])
-    return (
-        quarantined.withColumn("sample", F.row_number().over(first))
-        .filter(F.col("sample") <= per_reason)
+def error_samples(
+    raw: DataFrame, as_of: dt.datetime | str | None = None, per_reason: int = 5
+) -> DataFrame:
+    """The first rows of every reason, to be shown next to the error log.
+
+    One top-n per reason: each task keeps n rows, where a window over the reasons would sort every
+    suspect row. The conditions on single columns reach the file scan.
+    """
+    rest = [c for c in RAW_COLUMNS if c not in ("transaction_date", "transaction_id")]
+    order = [F.asc_nulls_first(c) for c in ("transaction_date", "transaction_id", *rest)]
+    repeated = _repeated_receipts(raw)
+    suspects = {reason: raw.filter(fault) for reason, fault in _faults(as_of).items()}
+    suspects[REPEATED_RECEIPT] = raw.join(
+        repeated, text_key(raw["receipt_number"]) == repeated["_receipt"], "left_semi"
     )
+    samples = [
+        rows.select(*RAW_COLUMNS, F.lit(reason).alias("reason")).orderBy(*order).limit(per_reason)
+        for reason, rows in suspects.items()
+    ]
+    numbered = F.row_number().over(W.partitionBy("reason").orderBy(*order))
+    return reduce(DataFrame.unionAll, samples).withColumn("sample", numbered)
 
 
 def run_metrics(raw: DataFrame, target: DataFrame) -> DataFrame:

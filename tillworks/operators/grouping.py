@@ -20,6 +20,16 @@ def merge_spellings(
     ).drop(*[f"_key_{c}" for c in text])
 
 
+def distinct_spellings(df: DataFrame, text: list[str]) -> DataFrame:
+    """DISTINCT that stays in the plan when merge_spellings follows.
+
+    The optimizer drops a plain DISTINCT below a MIN as redundant, which leaves every row to the
+    sort of merge_spellings. It cannot know that the count is positive, so this one is kept.
+    """
+    counted = df.groupBy(*text).agg(F.count("*").alias("_copies"))
+    return counted.filter(F.col("_copies") > 0).select(*text)
+
+
 def total_by_text(
     df: DataFrame, text: list[str], measures: dict[str, Column], keys: list[str] | None = None
 ) -> DataFrame:

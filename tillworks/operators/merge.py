@@ -6,20 +6,20 @@ from pyspark.sql import functions as F
 from tillworks.functions import blank_to_null, text_key
 from tillworks.functions.text import city_key
 from tillworks.operators.dedup import dedup_transactions
-from tillworks.operators.grouping import merge_spellings
+from tillworks.operators.grouping import distinct_spellings, merge_spellings
 from tillworks.operators.ordering import number_rows
 from tillworks.schema import TRANSACTION_COLUMNS
 
 
 def store_keys(raw: DataFrame) -> DataFrame:
     """Distinct (store_name, city) of the batch; rows without a store name have none."""
-    named = raw.filter(F.col("store_name").isNotNull()).select("store_name", "city")
-    spelled = named.distinct().withColumn("city", blank_to_null("city"))
+    named = distinct_spellings(raw.filter(F.col("store_name").isNotNull()), ["store_name", "city"])
+    spelled = named.withColumn("city", blank_to_null("city"))
     return merge_spellings(spelled, ["store_name", "city"], {}).select("store_name", "city")
 
 
 def payment_keys(raw: DataFrame) -> DataFrame:
-    spelled = raw.filter(F.col("payment_method").isNotNull()).select("payment_method").distinct()
+    spelled = distinct_spellings(raw.filter(F.col("payment_method").isNotNull()), ["payment_method"])
     return merge_spellings(spelled, ["payment_method"], {}).select("payment_method")
 
 

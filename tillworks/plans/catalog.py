@@ -118,7 +118,7 @@ _QUERIES: dict[str, Callable[[Mart], DataFrame]] = {
     "daily_summary_basic": lambda m: summary.daily_summary_basic(m.facts),
     # rows that break a rule
     "quarantine": lambda m: checks.quarantine(m.raw, AS_OF),
-    "error_samples": lambda m: checks.error_samples(checks.quarantine(m.raw, AS_OF), SAMPLES),
+    "error_samples": lambda m: checks.error_samples(m.raw, AS_OF, SAMPLES),
     "run_metrics": _run_metrics,
     "pk_violations": lambda m: checks.pk_violations(_transactions_initial(m)),
     "fk_orphans": lambda m: checks.fk_orphans(m.facts, *m.initial_dimensions),

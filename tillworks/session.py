@@ -2,8 +2,9 @@
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 _local_folders: dict[str, str] = {}
@@ -51,3 +52,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make DataFrame.checkpoint() usable in this session."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """Write a table to the shared folder and read it back, so that the planner knows its size.
+
+    A join to the result is broadcast exactly when its files are under the broadcast threshold.
+    Joined as a plan, its size would be guessed, and the other side be shuffled before the guess
+    could be put right.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/tillworks/{spark.sparkContext.applicationId}/saved/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
