@@ -4,7 +4,7 @@ import pytest
 from conftest import rows_of
 
 from tillworks.plans import etl
-from tillworks.plans.etl import CheckFailed, log_error, run_etl
+from tillworks.plans.etl import CheckFailed, log_error, run_etl, save_suspects
 from tillworks.plans.summary import load_daily_summary
 from tillworks.plans.views import register_views
 from tillworks.sources.warehouse import Warehouse
@@ -166,3 +166,15 @@ def test_views(warehouse, raw, spark):
     assert spark.sql("SELECT * FROM vw_daily_revenue").columns == ["report_date", "daily_revenue"]
     assert spark.sql("SELECT count(*) FROM transactions JOIN stores USING (store_id)").first()[0] == 4
     assert spark.sql("SELECT count(*) FROM etl_audit").first()[0] == 1
+
+
+def test_suspects_are_kept_by_run_and_reason(warehouse, raw):
+    result = run_etl(warehouse, raw(*BATCH1))
+    for _ in range(2):
+        save_suspects(warehouse, raw(*BATCH1), result.run)
+    kept = warehouse.suspects("quarantine")
+    assert rows_of(kept.groupBy("run", "reason").count()) == [
+        (1, "missing transaction_date", 1), (1, "missing transaction_id", 1), (1, "repeated receipt_number", 5),
+    ]
+    samples = warehouse.suspects("error_samples").filter("reason = 'repeated receipt_number'")
+    assert sorted(r["sample"] for r in samples.collect()) == [1, 2, 3, 4, 5]

@@ -1,5 +1,6 @@
 """The daily job: three upserts that become visible together or not at all."""
 
+import datetime as dt
 import traceback
 from dataclasses import dataclass, replace
 
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillworks.functions import text_key
 from tillworks.functions.calendar import MONTH_COLUMN
-from tillworks.operators.checks import fk_orphans, pk_violations
+from tillworks.operators.checks import error_samples, fk_orphans, pk_violations, quarantine
 from tillworks.operators.merge import (
     merge_source,
     not_in,
@@ -108,6 +109,14 @@ def check_keys(transactions: DataFrame, stores: DataFrame, payment_methods: Data
         raise CheckFailed(f"key check failed: {broken[0].asDict()}")
 
 
+def save_suspects(
+    warehouse: Warehouse, raw: DataFrame, run: int, as_of: dt.datetime | str | None = None
+) -> None:
+    """Keep a run's quarantined rows, by reason, and a few samples of each reason."""
+    warehouse.write_suspects("quarantine", quarantine(raw, as_of), run)
+    warehouse.write_suspects("error_samples", error_samples(raw, as_of), run)
+
+
 def log_error(warehouse: Warehouse, failure: BaseException, step: str) -> None:
     """One error_log row for one failure."""
     frames = traceback.extract_tb(failure.__traceback__)

@@ -6,6 +6,7 @@
     <root>/transactions/run=3/sales_month=2024-01    the rows a run wrote, by month
     <root>/published                                 one row per committed run
     <root>/error_log, <root>/etl_audit               appended
+    <root>/quarantine/run=3/reason=...               rows set aside; error_samples likewise
 
 A reader follows the newest row of `published`, so it sees all tables of a run or none. A month
 of the facts is the union of the run directories listed for it: a run that only adds rows writes
@@ -149,6 +150,18 @@ class Warehouse:
         declared = T.StructType(S.TRANSACTIONS.fields + [T.StructField(MONTH_COLUMN, T.StringType())])
         return self.spark.read.schema(declared).parquet(f"{self.root}/transactions/run={run}")
 
+    def write_suspects(self, name: str, df: DataFrame, run: int) -> None:
+        df.write.mode("overwrite").partitionBy("reason").parquet(f"{self.root}/{name}/run={run}")
+
+    def suspects(self, name: str) -> DataFrame:
+        """Quarantined or sampled rows of all runs, with their `run` and `reason`."""
+        declared = T.StructType(
+            S.RAW.fields
+            + ([T.StructField("sample", T.IntegerType())] if name == "error_samples" else [])
+            + [T.StructField("run", T.IntegerType()), T.StructField("reason", T.StringType())]
+        )
+        return self.spark.read.schema(declared).parquet(f"{self.root}/{name}")
+
     def publish(self, state: State) -> None:
         """Commit: from this append on, readers see the run."""
         row = typed_row(self.spark, S.PUBLISHED, vars(state) | {"published_at": F.localtimestamp()})
