@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillworks.functions import (
     average_ticket,
     blank_to_null,
+    city_key,
     count_if_null,
     count_when,
     discounted,
@@ -21,7 +22,6 @@ from tillworks.functions import (
     text_key,
     week_of_year,
 )
-from tillworks.functions.text import city_key
 from tillworks.plans.targets import performance
 
 

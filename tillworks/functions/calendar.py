@@ -5,6 +5,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillworks.functions.text import as_column
+
 MONTH_COLUMN = "sales_month"
 
 
@@ -14,7 +16,7 @@ def month_of(ts: Column | str) -> Column:
 
 def week_of_year(ts: Column | str) -> Column:
     """Week number with week 1 holding 1 January and weeks starting on Sunday."""
-    column = F.col(ts) if isinstance(ts, str) else ts
+    column = as_column(ts)
     # dayofweek counts Sunday as 1, so this many days precede 1 January in its week.
     days_before = F.dayofweek(F.trunc(column, "YEAR")) - 1
     return (F.floor((F.dayofyear(column) + days_before - 1) / 7) + 1).cast("int")

@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tillworks.functions.text import text_key
+from tillworks.functions.text import as_column, text_key
 
 # The accepted spellings of the flag under text_key. Any other value is neither.
 DISCOUNT_YES = ["TRUE", "1"]
@@ -25,5 +25,4 @@ def count_when(condition: Column) -> Column:
 
 def count_if_null(column: Column | str) -> Column:
     """NULL values in the column; NULL, not 0, when there is none."""
-    tested = F.col(column) if isinstance(column, str) else column
-    return F.sum(F.when(tested.isNull(), 1))
+    return F.sum(F.when(as_column(column).isNull(), 1))

@@ -3,6 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tillworks.functions.text import as_column
 from tillworks.schema import MONEY, MONEY_RATIO, MONEY_SUM
 
 _SPLIT = 20
@@ -16,7 +17,7 @@ def money_sum(amount: Column | str) -> Column:
     the whole units split at 2**20, and the fraction. Measured on 60 million rows this takes less
     than half the time. No part can overflow below 9e12 rows of the largest amount.
     """
-    exact = (F.col(amount) if isinstance(amount, str) else amount).cast(MONEY)
+    exact = as_column(amount).cast(MONEY)
     whole = exact.cast("bigint")
     fraction = (exact - whole.cast(MONEY)).cast("decimal(8,2)")
     high = F.sum(F.shiftright(whole, _SPLIT)).cast("decimal(20,0)") * F.lit(1 << _SPLIT)

@@ -4,28 +4,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def as_column(column: Column | str) -> Column:
+    return F.col(column) if isinstance(column, str) else column
+
+
 def text_key(text: Column | str) -> Column:
     """The form under which two spellings of one value are equal."""
-    column = F.col(text) if isinstance(text, str) else text
-    return F.upper(F.rtrim(column))
+    return F.upper(F.rtrim(as_column(text)))
 
 
 def trimmed_upper(text: Column | str) -> Column:
     """Both ends trimmed, upper case: the cashier spelling of the target reports."""
-    column = F.col(text) if isinstance(text, str) else text
-    return F.upper(F.trim(column))
+    return F.upper(F.trim(as_column(text)))
 
 
 def blank_to_null(text: Column | str) -> Column:
     """'' and blanks become NULL, so that one place has one form of 'no city'."""
-    column = F.col(text) if isinstance(text, str) else text
-    return F.when(F.rtrim(column) != "", column)
+    return F.when(F.rtrim(as_column(text)) != "", as_column(text))
 
 
 def city_key(city: Column | str) -> Column:
     """text_key in which NULL and '' are the same value and equal to themselves."""
     return F.coalesce(text_key(city), F.lit(""))
-
-
-def same_city(a: Column, b: Column) -> Column:
-    return city_key(a) == city_key(b)

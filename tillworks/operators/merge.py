@@ -3,8 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.functions import blank_to_null, text_key
-from tillworks.functions.text import city_key
+from tillworks.functions import blank_to_null, city_key, text_key
 from tillworks.operators.dedup import dedup_transactions
 from tillworks.operators.grouping import distinct_spellings, merge_spellings
 from tillworks.operators.ordering import number_rows

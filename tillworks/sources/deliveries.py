@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.schema import MONEY, RAW_COLUMNS
+from tillworks.schema import MONEY
 
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +58,3 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("RCP"), (k % 14000).cast("string")).alias("receipt_number"),
         "redelivery",
     )
-
-
-def without_delivery_number(rows: DataFrame) -> DataFrame:
-    return rows.select(*RAW_COLUMNS)
