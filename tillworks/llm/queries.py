@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillworks.llm import harmonic_packing, quality_bands
+from tillworks.llm import harmonic_packing, minmax_dedup, quality_bands
 
 BPE_JSON = "byte_bpe_50k.json"
 
@@ -20,6 +20,10 @@ def op6_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op9_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_dedup.near_duplicates(_table(spark, sf_dir, "documents"), size=2)
+
+
 def op10_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     bands = quality_bands.fit_bands(docs, _table(spark, sf_dir, "labels"))
@@ -27,7 +31,7 @@ def op10_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_harmonic_packing, op10_compression_bands)
+    f.__name__: f for f in (op6_harmonic_packing, op9_minmax_dedup, op10_compression_bands)
 }
 
 #: SQL counterparts by query; none of the methods so far can be put in SQL.
