@@ -1,11 +1,14 @@
 """The registered queries of the training-text operators, each over its whole table."""
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillworks.llm import harmonic_packing, minmax_dedup, quality_bands
+from tillworks.llm import harmonic_packing, minmax_dedup, quality_bands, simple8b
+
+from tillworks.session import shared_dir
 
 BPE_JSON = "byte_bpe_50k.json"
 
@@ -20,6 +23,13 @@ def op6_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op7_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    folder = f"{shared_dir(spark)}/tillworks/{spark.sparkContext.applicationId}/tokens/{uuid.uuid4().hex}"
+    simple8b.write_files(docs, folder, public_tokenizers.path(BPE_JSON), end_id=0)
+    return simple8b.index(docs, folder)
+
+
 def op9_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(_table(spark, sf_dir, "documents"), size=2)
 
@@ -31,7 +41,7 @@ def op10_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_harmonic_packing, op9_minmax_dedup, op10_compression_bands)
+    f.__name__: f for f in (op6_harmonic_packing, op7_simple8b, op9_minmax_dedup, op10_compression_bands)
 }
 
 #: SQL counterparts by query; none of the methods so far can be put in SQL.
