@@ -5,18 +5,31 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillworks.llm import harmonic_packing, minmax_dedup, quality_bands, simple8b
+from tillworks.llm import harmonic_packing, minmax_dedup, prefix_bpe, quality_bands, simple8b
 
 from tillworks.session import shared_dir
 
 BPE_JSON = "byte_bpe_50k.json"
+BPE_RANKS = "byte_bpe_50k.tiktoken"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    done = prefix_bpe.round_trip(docs, public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN)
+    return done.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op6_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     packed = harmonic_packing.pack_documents(docs, public_tokenizers.path(BPE_JSON), end_id=1)
@@ -41,7 +54,7 @@ def op10_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_harmonic_packing, op7_simple8b, op9_minmax_dedup, op10_compression_bands)
+    f.__name__: f for f in (op1_prefix_bpe, op6_harmonic_packing, op7_simple8b, op9_minmax_dedup, op10_compression_bands)
 }
 
 #: SQL counterparts by query; none of the methods so far can be put in SQL.
