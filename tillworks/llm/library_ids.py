@@ -77,7 +77,7 @@ class LibraryEncoder:
         self._split = re.compile("|".join(map(re.escape, sorted(self._special, key=len, reverse=True))) or r"(?!)")
         self._pre, self._model = self.tokenizer.pre_tokenizer, self.tokenizer.model
         # Parts are independent only under plain byte-level splitting.
-        self._parts = (
+        self.by_parts = (
             self.tokenizer.normalizer is None
             and type(self._pre).__name__ == "ByteLevel"
             and not self._pre.add_prefix_space
@@ -109,18 +109,30 @@ class LibraryEncoder:
         """All ids of a text, without special tokens of the library's own adding."""
         if not text:
             return b""
-        if not self._parts:
+        if not self.by_parts:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return np.array(ids, "<u4").tobytes()
-        out, at = [], 0
+        out = []
+        for part, special in self.segments(text):
+            out.append(np.array([self._special[part]], "<u4").tobytes() if special else self._encode_plain(part))
+        return b"".join(out)
+
+    def segments(self, text: str):
+        """The text cut at special strings: each part and whether it is one."""
+        at = 0
         for found in self._split.finditer(text):
             if found.start() > at:
-                out.append(self._encode_plain(text[at : found.start()]))
-            out.append(np.array([self._special[found.group()]], "<u4").tobytes())
+                yield text[at : found.start()], False
+            yield found.group(), True
             at = found.end()
         if at < len(text):
-            out.append(self._encode_plain(text[at:]))
-        return b"".join(out)
+            yield text[at:], False
+
+    def count_piece(self, piece: str) -> int:
+        """Tokens of one pre-token or special string."""
+        if piece in self._special:
+            return 1
+        return len(self._model.tokenize(piece.encode().decode("latin-1").translate(_LETTERS)))
 
 
 @functools.lru_cache(maxsize=1)

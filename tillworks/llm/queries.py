@@ -7,11 +7,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import harmonic_packing, minmax_dedup, prefix_bpe, quality_bands, simple8b
+from tillworks.llm import harmonic_packing, minmax_dedup, prefix_bpe, quality_bands, simple8b, token_counts
 
 from tillworks.session import shared_dir
 
 BPE_JSON = "byte_bpe_50k.json"
+TOKEN_LIMIT = 1024
 BPE_RANKS = "byte_bpe_50k.tiktoken"
 
 
@@ -30,6 +31,11 @@ def op1_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count(_table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_JSON))
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 def op6_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     packed = harmonic_packing.pack_documents(docs, public_tokenizers.path(BPE_JSON), end_id=1)
@@ -54,7 +60,7 @@ def op10_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_prefix_bpe, op6_harmonic_packing, op7_simple8b, op9_minmax_dedup, op10_compression_bands)
+    f.__name__: f for f in (op1_prefix_bpe, op3_token_counts, op6_harmonic_packing, op7_simple8b, op9_minmax_dedup, op10_compression_bands)
 }
 
 #: SQL counterparts by query; none of the methods so far can be put in SQL.
