@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import harmonic_packing, minmax_dedup, prefix_bpe, quality_bands, simple8b, token_counts
+from tillworks.llm import harmonic_packing, line_runs, minmax_dedup, prefix_bpe, quality_bands, simple8b, token_counts
 
 from tillworks.session import shared_dir
 
@@ -49,6 +49,11 @@ def op7_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.index(docs, folder)
 
 
+def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = line_runs.removed_counts(_table(spark, sf_dir, "documents"))
+    return counted.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(_table(spark, sf_dir, "documents"), size=2)
 
@@ -60,7 +65,7 @@ def op10_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_prefix_bpe, op3_token_counts, op6_harmonic_packing, op7_simple8b, op9_minmax_dedup, op10_compression_bands)
+    f.__name__: f for f in (op1_prefix_bpe, op3_token_counts, op6_harmonic_packing, op7_simple8b, op8_line_runs, op9_minmax_dedup, op10_compression_bands)
 }
 
 #: SQL counterparts by query; none of the methods so far can be put in SQL.
