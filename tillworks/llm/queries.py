@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import harmonic_packing, line_runs, minmax_dedup, prefix_bpe, quality_bands, simple8b, token_counts
+from tillworks.llm import harmonic_packing, line_runs, minmax_dedup, prefix_bpe, quality_bands, robust_graph, simple8b, token_counts
 
 from tillworks.session import shared_dir
 
@@ -31,6 +31,12 @@ def op1_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_robust_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    index = robust_graph.build_index(vectors, k=5)
+    return robust_graph.nearest(index, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count(_table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_JSON))
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -65,7 +71,7 @@ def op10_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_prefix_bpe, op3_token_counts, op6_harmonic_packing, op7_simple8b, op8_line_runs, op9_minmax_dedup, op10_compression_bands)
+    f.__name__: f for f in (op1_prefix_bpe, op2_robust_graph, op3_token_counts, op6_harmonic_packing, op7_simple8b, op8_line_runs, op9_minmax_dedup, op10_compression_bands)
 }
 
 #: SQL counterparts by query; none of the methods so far can be put in SQL.
