@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import harmonic_packing, line_runs, minmax_dedup, pii_crf, prefix_bpe, quality_bands, robust_graph, simple8b, token_counts
+from tillworks.llm import harmonic_packing, line_runs, minmax_dedup, ngram_difference, pii_crf, prefix_bpe, quality_bands, robust_graph, simple8b, token_counts
 
 from tillworks.session import shared_dir
 
@@ -46,6 +46,11 @@ def op4_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_crf.find_personal(_table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return ngram_difference.score(docs, ngram_difference.fit(docs, labels.filter("quality = 1")))
+
+
 def op6_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     packed = harmonic_packing.pack_documents(docs, public_tokenizers.path(BPE_JSON), end_id=1)
@@ -75,7 +80,7 @@ def op10_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_prefix_bpe, op2_robust_graph, op3_token_counts, op4_pii_crf, op6_harmonic_packing, op7_simple8b, op8_line_runs, op9_minmax_dedup, op10_compression_bands)
+    f.__name__: f for f in (op1_prefix_bpe, op2_robust_graph, op3_token_counts, op4_pii_crf, op5_ngram_difference, op6_harmonic_packing, op7_simple8b, op8_line_runs, op9_minmax_dedup, op10_compression_bands)
 }
 
 #: SQL counterparts by query; none of the methods so far can be put in SQL.
