@@ -304,7 +304,7 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
     All columns are kept. Texts without words stay. Equal rows are one document.
     """
-    name, key, found = fresh(docs, "digest"), fresh(docs, "_id"), fresh(docs, "_digest")
+    name, key, found = fresh(docs, "digest"), fresh(docs, "winner_id"), fresh(docs, "winner_digest")
     linked = link(docs, size, percent).filter(F.col("node").isNotNull())
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("w")
     winners = linked.groupBy("node").agg(best).select(F.col("w.doc_id").alias(key), F.col("w.digest").alias(found))
