@@ -119,7 +119,8 @@ def fit(docs: DataFrame, good: DataFrame, weight: float = 16.0) -> Models:
     with the documents.
     """
     ids = good.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct().withColumn("good", F.lit(True))
-    flagged = docs.select("doc_id", "text").join(ids, "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
+    # Labels grow with the documents, so they are never broadcast, however few they are.
+    flagged = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
     table = _counts(flagged).toArrow()
     total = np.zeros((2, (1 << GRAM_BITS) + (1 << CONTEXT_BITS) + (1 << 16)), np.float32)
     at = np.asarray(table.column("cell"))
