@@ -1,13 +1,14 @@
 """The daily job: merges, repeats, moves between months, failures, logs and the summary table."""
 
+from dataclasses import replace
+
 import pytest
 from conftest import rows_of
 
-from tillworks.plans import etl
-from tillworks.plans.etl import CheckFailed, log_error, run_etl, save_suspects
+from tillworks.plans.etl import CheckFailed, compact, log_error, run_etl, save_suspects
 from tillworks.plans.summary import load_daily_summary
 from tillworks.plans.views import register_views
-from tillworks.sources.warehouse import Warehouse
+from tillworks.sources.warehouse import Warehouse, WriteConflict
 
 
 @pytest.fixture
@@ -63,12 +64,43 @@ def test_new_rows_leave_the_files_of_their_month_alone(warehouse, raw):
     assert rows_of(warehouse.transactions(), "transaction_id") == [("A",), ("B",), ("C",), ("E",), ("N",)]
 
 
-def test_scattered_months_are_written_anew(warehouse, raw, monkeypatch):
-    monkeypatch.setattr(etl, "MAX_RUNS_PER_MONTH", 2)
+def test_only_the_caller_compacts_months(warehouse, raw):
     for i in range(3):
         run_etl(warehouse, raw({"transaction_id": f"T{i}"}))
-    assert warehouse.state().month_runs == {"2024-01": [3]}
-    assert warehouse.transactions().count() == 3
+    assert warehouse.state().month_runs == {"2024-01": [1, 2, 3]}
+    before = tables(warehouse)
+    assert compact(warehouse, {"2024-01", "2030-01"}) == 4
+    assert warehouse.state().month_runs == {"2024-01": [4]} and tables(warehouse) == before
+    assert compact(warehouse, {"2030-01"}) is None
+    assert run_etl(warehouse, raw({"transaction_id": "T3"})).run == 5
+    assert warehouse.state().month_runs == {"2024-01": [4, 5]}
+
+
+def test_a_snapshot_holds_one_run(warehouse, raw):
+    run_etl(warehouse, raw(*BATCH1))
+    snapshot = warehouse.snapshot()
+    run_etl(warehouse, raw(*BATCH2))
+    assert rows_of(snapshot.stores()) != rows_of(warehouse.stores())
+    known = {r["store_id"] for r in snapshot.stores().collect()}
+    assert {r["store_id"] for r in snapshot.transactions().collect()} - {None} <= known
+    assert {r["sales_month"] for r in snapshot.transactions({"2024-03"}).collect()} == {"2024-03"}
+
+
+def test_recreating_leaves_nothing_of_the_old_warehouse(warehouse, raw, spark):
+    result = run_etl(warehouse, raw(*BATCH1))
+    save_suspects(warehouse, raw(*BATCH1), result.run)
+    anew = Warehouse(spark, warehouse.root, recreate=True)
+    assert anew.suspects("quarantine").count() == 0
+    assert run_etl(anew, raw({"transaction_id": "Z"})).run == 1
+    assert anew.suspects("quarantine").count() == 0 and anew.transactions().count() == 1
+
+
+def test_two_writers_cannot_both_publish(warehouse, raw):
+    run_etl(warehouse, raw(*BATCH1))
+    state = warehouse.state()
+    warehouse.publish(replace(state, run=2))
+    with pytest.raises(WriteConflict):
+        warehouse.publish(replace(state, run=2))
 
 
 def test_a_month_that_loses_all_rows_disappears(warehouse, raw):

@@ -34,3 +34,20 @@ def test_empty_landing_folder(spark, tmp_path):
     (tmp_path / "landing").mkdir()
     assert merge_new_files(spark, warehouse, str(tmp_path / "landing")) is None
     assert warehouse.state().run == 0
+
+
+@pytest.mark.parametrize("lost", [(), (2,), (2, 3)])
+def test_a_failed_run_changes_no_answer(spark, tmp_path, monkeypatch, lost):
+    """The latest delivery wins, whether its run went through at once or was caught up."""
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    for day, items, hour in ((1, 1, "10"), (2, 9, "11"), (3, 4, "09"), (4, 7, "12")):
+        rows = [line(transaction_id="A", items_count=str(items), transaction_date=f"2024-01-01 {hour}:00:00")] if day < 4 else [line(transaction_id="B", items_count="7")]
+        landing = write(tmp_path, *rows, name=f"day{day}.csv")
+        with monkeypatch.context() as m:
+            if day in lost:
+                m.setattr(Warehouse, "publish", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+                with pytest.raises(OSError):
+                    merge_new_files(spark, warehouse, landing)
+            else:
+                merge_new_files(spark, warehouse, landing)
+    assert rows_of(warehouse.transactions(), "transaction_id", "items_count") == [("A", 4), ("B", 7)]

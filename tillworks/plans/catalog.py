@@ -46,6 +46,14 @@ def _run_metrics(m: Mart) -> DataFrame:
     return checks.run_metrics(m.batches[1], target)
 
 
+def _after_two_runs(table: str, repeated: bool = False) -> Callable[[Mart], DataFrame]:
+    def read(m: Mart) -> DataFrame:
+        warehouse, merged, again = m.two_runs
+        return getattr(warehouse, table)(again if repeated else merged).drop("sales_month")
+
+    return read
+
+
 def _csv_load(m: Mart) -> DataFrame:
     path = f"{m.folder}/csv"
     m.raw.write.mode("overwrite").csv(
@@ -81,6 +89,10 @@ _QUERIES: dict[str, Callable[[Mart], DataFrame]] = {
     "upsert_payment_methods": _upsert_payment_methods,
     "upsert_transactions": _upsert_transactions,
     "run_etl": lambda m: m.facts.drop("sales_month"),
+    "run_etl_two_batches": _after_two_runs("transactions"),
+    "run_etl_repeated": _after_two_runs("transactions", repeated=True),
+    "run_etl_stores": _after_two_runs("stores"),
+    "run_etl_payment_methods": _after_two_runs("payment_methods"),
     # key figures
     "store_count": lambda m: kpi.store_count(m.stores),
     "city_count": lambda m: kpi.city_count(m.stores),

@@ -20,8 +20,6 @@ from tillworks.schema import TRANSACTION_COLUMNS
 from tillworks.sources.warehouse import State, Warehouse, months_in
 
 JOB = "run_etl"
-# A month spread over this many run directories is written anew by the next run.
-MAX_RUNS_PER_MONTH = 60
 
 
 @dataclass(frozen=True)
@@ -68,7 +66,9 @@ def _merge(warehouse: Warehouse, raw: DataFrame) -> RunResult:
     source = warehouse.written(run)
     check_keys(source, stores, payment_methods)
     # Counted on the written rows: an accumulator would count a retried task twice.
-    rows, months = source.count(), months_in(source)
+    # One row for each month.
+    by_month = {r[MONTH_COLUMN]: r["count"] for r in source.groupBy(MONTH_COLUMN).count().collect()}
+    rows, months = sum(by_month.values()), set(by_month)
 
     rewritten = _months_to_rewrite(warehouse, state, source)
     if rewritten:
@@ -85,7 +85,7 @@ def _merge(warehouse: Warehouse, raw: DataFrame) -> RunResult:
 
 
 def _months_to_rewrite(warehouse: Warehouse, state: State, source: DataFrame) -> set[str]:
-    """Months whose stored rows this run replaces in part, or that have become too scattered.
+    """Months whose stored rows this run replaces in part.
 
     A known transaction may have moved to another month, so ids are looked up in all months. Only
     64-bit hashes of the ids are shuffled: two ids with one hash cost a needless rewrite of a
@@ -96,8 +96,25 @@ def _months_to_rewrite(warehouse: Warehouse, state: State, source: DataFrame) ->
     known = warehouse.transactions(state)
     hashed = known.select(F.xxhash64(text_key("transaction_id")).alias("_hash"), MONTH_COLUMN)
     new = source.select(F.xxhash64(text_key("transaction_id")).alias("_hash"))
-    scattered = {m for m, runs in state.month_runs.items() if len(runs) >= MAX_RUNS_PER_MONTH}
-    return months_in(hashed.join(new, "_hash", "left_semi")) | scattered
+    return months_in(hashed.join(new, "_hash", "left_semi"))
+
+
+def compact(warehouse: Warehouse, months: set[str]) -> int | None:
+    """Write the given months anew, each into one run's directory, and publish; rows stay the same.
+
+    The daily job never does this by itself: a month that is only added to gains a directory a run,
+    and when to pay for joining them is the caller's choice. Months that hold no rows are left out;
+    None if nothing is left.
+    """
+    state = warehouse.state()
+    months = months & set(state.month_runs)
+    if not months:
+        return None
+    run = state.run + 1
+    warehouse.write_months(warehouse.transactions(state, months).select(*TRANSACTION_COLUMNS), run)
+    runs = state.month_runs | {month: [run] for month in months}
+    warehouse.publish(replace(state, run=run, month_runs=runs))
+    return run
 
 
 def check_keys(transactions: DataFrame, stores: DataFrame, payment_methods: DataFrame) -> None:
@@ -118,7 +135,7 @@ def save_suspects(
 
 
 def log_error(warehouse: Warehouse, failure: BaseException, step: str) -> None:
-    """One error_log row for one failure."""
+    """One error_log row for one failure; the table keeps the first 4000 characters of its message."""
     frames = traceback.extract_tb(failure.__traceback__)
     warehouse.append_log(
         "error_log",

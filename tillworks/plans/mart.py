@@ -23,7 +23,7 @@ from tillworks.plans.initial_load import (
 from tillworks.schema import RAW_COLUMNS
 from tillworks.session import shared_dir
 from tillworks.sources.deliveries import deliveries
-from tillworks.sources.warehouse import Warehouse
+from tillworks.sources.warehouse import State, Warehouse
 
 # Orders before this day are the first batch of the merge queries. All later orders and all
 # re-deliveries are the second, so the two together are the whole table.
@@ -89,6 +89,20 @@ class Mart:
         loaded = transactions_initial(dedup_transactions(first), stores, methods)
         return stores, methods, self._saved("first_transactions", loaded)
 
+    @cached_property
+    def two_runs(self) -> tuple[Warehouse, State, State]:
+        """A warehouse that the daily job has filled from the two batches, the second one twice.
+
+        With it come its states after the second run and after the repeat.
+        """
+        warehouse = Warehouse(self.spark, f"{self.folder}/two_runs", recreate=True)
+        first, second = (self._saved(f"batch{i}", b) for i, b in enumerate(self.batches, 1))
+        run_etl(warehouse, first)
+        run_etl(warehouse, second)
+        merged = warehouse.state()
+        run_etl(warehouse, second)
+        return warehouse, merged, warehouse.state()
+
     @cached_property
     def merged_dimensions(self) -> tuple[DataFrame, DataFrame]:
         """The dimensions once the second batch is merged into the first load."""

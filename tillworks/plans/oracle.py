@@ -94,14 +94,17 @@ stores_initial AS ({_stores("pos_raw", "store_name IS NOT NULL AND city IS NOT N
 
 _IS_FIRST = f"redelivery = 0 AND transaction_date < TIMESTAMP '{SECOND_BATCH_FROM}'"
 
-# The first batch loaded, the second merged into it.
-_MERGED = f""",
+
+
+def _merged(first_stores: str, first_join: str) -> str:
+    """The first batch loaded, the second merged into it."""
+    return f""",
 batch1 AS (SELECT {_RAW} FROM pos_all WHERE {_IS_FIRST}),
 batch2 AS (SELECT {_RAW} FROM pos_all WHERE NOT coalesce({_IS_FIRST}, false)),
-stores1 AS ({_stores("batch1", "store_name IS NOT NULL AND city IS NOT NULL")}),
+stores1 AS ({_stores("batch1", first_stores)}),
 pay1 AS ({_methods("batch1")}),
 source1 AS ({_dedup("batch1")}),
-fact1 AS ({_resolved("source1", "stores1", "pay1", "INNER")}),
+fact1 AS ({_resolved("source1", "stores1", "pay1", first_join)}),
 found_stores AS ({_stores("batch2", "store_name IS NOT NULL")}),
 found_pay AS ({_methods("batch2")}),
 stores2 AS (
@@ -127,6 +130,11 @@ fact2 AS (
     SELECT {_FACT} FROM fact1 WHERE transaction_id NOT IN (SELECT transaction_id FROM source2)
 )"""
 
+
+# Into tables that an initial load has filled, and into tables that the job itself has filled.
+_MERGED = _merged("store_name IS NOT NULL AND city IS NOT NULL", "INNER")
+_TWO_RUNS = _merged("store_name IS NOT NULL", "LEFT")
+
 _QUARANTINE = f""",
 repeated AS (SELECT receipt_number AS r FROM pos_raw WHERE receipt_number IS NOT NULL
              GROUP BY receipt_number HAVING count(*) > 1),
@@ -309,6 +317,14 @@ _SELECTS = {
         WHERE payment_id IS NOT NULL AND payment_id NOT IN (SELECT payment_id FROM pay) GROUP BY 2""",
 }
 
+# Tables that two runs of the daily job have filled.
+_TWO_RUN_SELECTS = {
+    "run_etl_two_batches": f"SELECT {_FACT} FROM fact2",
+    "run_etl_repeated": f"SELECT {_FACT} FROM fact2",
+    "run_etl_stores": "SELECT store_id, store_name, city FROM stores2",
+    "run_etl_payment_methods": "SELECT payment_id, payment_method FROM pay2",
+}
+
 _MERGE_SELECTS = {
     "upsert_stores": "SELECT store_id, store_name, city FROM stores2",
     "upsert_payment_methods": "SELECT payment_id, payment_method FROM pay2",
@@ -339,6 +355,7 @@ def oracle_sql() -> dict[str, str]:
     for selects, tables in (
         (_SELECTS, _BASE),
         (_MERGE_SELECTS, _BASE + _MERGED),
+        (_TWO_RUN_SELECTS, _BASE + _TWO_RUNS),
         (_QUARANTINE_SELECTS, _BASE + _QUARANTINE),
     ):
         texts.update({name: f"{tables}\n{select}" for name, select in selects.items()})

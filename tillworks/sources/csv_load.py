@@ -13,7 +13,11 @@ TEXT_SCHEMA = T.StructType(
 
 STAGED = T.StructType(
     RAW.fields
-    + [T.StructField("reject_reason", T.StringType()), T.StructField("rejected", T.BooleanType())]
+    + [
+        T.StructField("reject_reason", T.StringType()),
+        T.StructField("line", T.StringType()),
+        T.StructField("rejected", T.BooleanType()),
+    ]
 )
 # The format of the delivered files.
 CSV_OPTIONS = {
@@ -43,7 +47,10 @@ def read_csv(
     timestamp_pattern: str | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
-    """The 11 typed columns plus `reject_reason`, NULL for a good row.
+    """The 11 typed columns plus `reject_reason` and `line`, both NULL for a good row.
+
+    reject_reason holds all reasons, joined by "; ". line is the text of a rejected row: a malformed
+    line as it came, else its fields as CSV, so that it can be repaired and loaded again.
 
     Files: comma-separated, RFC 4180 quotes, one header line, UTF-8; an empty field, quoted or
     not, is NULL. Columns are read as text and cast one by one, so a bad value names its column instead of
@@ -76,7 +83,11 @@ def typed_rows(text: DataFrame, timestamp_pattern: str | None = None) -> DataFra
         columns.append(value.alias(field.name))
         reasons.append(F.when(fault, F.lit(reason)))
     broken = F.when(F.col(_BROKEN).isNotNull(), F.lit("malformed line"))
-    return text.select(*columns, F.coalesce(broken, *reasons).alias("reject_reason"))
+    every = F.concat_ws("; ", broken, *reasons)
+    reason = F.when(every != "", every)
+    as_csv = F.to_csv(F.struct(*RAW_COLUMNS), {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    line = F.when(reason.isNotNull(), F.coalesce(F.col(_BROKEN), as_csv))
+    return text.select(*columns, reason.alias("reject_reason"), line.alias("line"))
 
 
 def stage_csv(
@@ -88,20 +99,29 @@ def stage_csv(
 ) -> tuple[DataFrame, DataFrame]:
     """Recreate the staging table from CSV files and return (raw rows, rejected rows).
 
-    One pass over the text: the rejected rows are a partition of the same table.
+    One pass over the text: the rejected rows are a partition of the same table. Those of every
+    delivery are also appended to `<staging>_rejects`, with the time, so the next one leaves them.
     """
     rows = read_csv(spark, path, timestamp_pattern, multi_line)
     rows.withColumn("rejected", F.col("reject_reason").isNotNull()).write.mode("overwrite").partitionBy(
         "rejected"
     ).parquet(staging)
-    return read_staging(spark, staging)
+    good, bad = read_staging(spark, staging)
+    bad.withColumn("staged_at", F.localtimestamp()).write.mode("append").parquet(f"{staging}_rejects")
+    return good, bad
+
+
+def read_rejects(spark: SparkSession, staging: str) -> DataFrame:
+    """The rejected rows of all deliveries: typed columns, reject_reason, line and staged_at."""
+    declared = T.StructType([f for f in STAGED.fields if f.name != "rejected"] + [T.StructField("staged_at", T.TimestampNTZType())])
+    return spark.read.schema(declared).parquet(f"{staging}_rejects")
 
 
 def read_staging(spark: SparkSession, staging: str) -> tuple[DataFrame, DataFrame]:
     return split_staged(spark.read.schema(STAGED).parquet(staging))
 
 
-def split_staged(table: DataFrame) -> tuple[DataFrame, DataFrame]:
-    good = table.filter(~F.col("rejected")).select(*RAW_COLUMNS)
-    bad = table.filter(F.col("rejected")).select(*RAW_COLUMNS, "reject_reason")
+def split_staged(table: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
+    good = table.filter(~F.col("rejected")).select(*RAW_COLUMNS, *more)
+    bad = table.filter(F.col("rejected")).select(*RAW_COLUMNS, "reject_reason", "line", *more)
     return good, bad

@@ -34,6 +34,7 @@ _DIMENSIONS = {
     "payment_methods": S.PAYMENT_METHODS,
     "daily_summary": S.DAILY_SUMMARY,
 }
+_SUSPECTS = ("quarantine", "error_samples")
 _FACT = T.StructType(
     S.TRANSACTIONS.fields
     + [T.StructField("run", T.IntegerType()), T.StructField(MONTH_COLUMN, T.StringType())]
@@ -68,14 +69,25 @@ def _constant(value) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
+class WriteConflict(RuntimeError):
+    """Another writer has published the run meanwhile."""
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, recreate: bool = False):
         self.spark = spark
         self.root = root.rstrip("/")
+        if recreate:
+            self._clear()
         for name, table in _TABLES.items():
-            typed_row(spark, table, None).write.mode("overwrite" if recreate else "ignore").parquet(
-                f"{self.root}/{name}"
-            )
+            typed_row(spark, table, None).write.mode("ignore").parquet(f"{self.root}/{name}")
+
+    def _clear(self) -> None:
+        """Remove every table of an earlier warehouse in this folder; run numbers start again."""
+        context = self.spark.sparkContext
+        for name in [*_TABLES, *_DIMENSIONS, "transactions", *_SUSPECTS]:
+            path = context._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
     # -- reading ---------------------------------------------------------------------------------
 
@@ -92,6 +104,10 @@ class Warehouse:
             dict(row["month_runs"]),
         )
 
+    def snapshot(self) -> "Snapshot":
+        """All tables as of the newest run: what a reader of several tables should use."""
+        return Snapshot(self, self.state())
+
     def _dimension(self, name: str, run: int | None) -> DataFrame:
         if run is None:
             return typed_row(self.spark, _DIMENSIONS[name], None)
@@ -160,10 +176,23 @@ class Warehouse:
             + ([T.StructField("sample", T.IntegerType())] if name == "error_samples" else [])
             + [T.StructField("run", T.IntegerType()), T.StructField("reason", T.StringType())]
         )
+        if not self._exists(name):
+            return typed_row(self.spark, declared, None)
         return self.spark.read.schema(declared).parquet(f"{self.root}/{name}")
 
+    def _exists(self, name: str) -> bool:
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path.getFileSystem(context._jsc.hadoopConfiguration()).exists(path)
+
     def publish(self, state: State) -> None:
-        """Commit: from this append on, readers see the run."""
+        """Commit: from this append on, readers see the run.
+
+        A run number that is taken is refused. The look and the append are two steps, so this finds
+        a second writer that has finished, not one that publishes at the same moment.
+        """
+        if self.state().run >= state.run:
+            raise WriteConflict(f"run {state.run} is published already")
         row = typed_row(self.spark, S.PUBLISHED, vars(state) | {"published_at": F.localtimestamp()})
         row.write.mode("append").parquet(f"{self.root}/published")
 
@@ -174,6 +203,26 @@ class Warehouse:
         typed_row(self.spark, _TABLES[name], stamped).write.mode("append").parquet(f"{self.root}/{name}")
 
 
+@dataclass(frozen=True)
+class Snapshot:
+    """The tables of one published run, whatever is published later."""
+
+    warehouse: Warehouse
+    state: State
+
+    def stores(self) -> DataFrame:
+        return self.warehouse.stores(self.state)
+
+    def payment_methods(self) -> DataFrame:
+        return self.warehouse.payment_methods(self.state)
+
+    def daily_summary(self) -> DataFrame:
+        return self.warehouse.daily_summary(self.state)
+
+    def transactions(self, months: set[str] | None = None) -> DataFrame:
+        return self.warehouse.transactions(self.state, months)
+
+
 def with_month(df: DataFrame) -> DataFrame:
     return df.withColumn(
         MONTH_COLUMN, F.coalesce(month_of("transaction_date"), F.lit(NO_MONTH))

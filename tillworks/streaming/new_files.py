@@ -5,6 +5,8 @@ run reads that day's files however many the folder holds. With trigger available
 it has caught up, like any batch job. The merge itself is run_etl.
 """
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,10 +41,10 @@ def stage_new_files(
 
 
 def staged_since(spark: SparkSession, staging: str, load: int) -> tuple[DataFrame, DataFrame]:
-    """Good and rejected rows of all loads after the given one."""
-    declared = T.StructType([*STAGED.fields, T.StructField("load", T.IntegerType())])
+    """Good and rejected rows of all loads after the given one, with their load."""
+    declared = T.StructType([*STAGED.fields, T.StructField("load", T.LongType())])
     table = spark.read.schema(declared).parquet(staging)
-    return split_staged(table.filter(F.col("load") > load))
+    return tuple(rows.filter(F.col("load") > load) for rows in split_staged(table, "load"))
 
 
 def merge_new_files(
@@ -52,16 +54,27 @@ def merge_new_files(
     timestamp_pattern: str | None = None,
     multi_line: bool = False,
 ) -> RunResult | None:
-    """Stage what is new in the landing folder and merge all that no run has merged yet.
+    """Stage what is new in the landing folder and merge all loads that no run has merged yet.
 
-    Rows are staged under the number of the run that is to publish them. When that run fails they
-    are still newer than the last merge, so the next call merges them; nothing new gives None.
+    A load is what one call has staged, numbered by the time in milliseconds. Loads are merged one
+    by one in that order, each by a run of its own, so the latest delivery of a transaction wins
+    whether or not an earlier call has failed. A load is noted as merged after its run is published;
+    should the note be lost, the next call merges the load once more before any later one, which
+    changes nothing. Nothing new gives None; else the last run, with the rows and months of all.
     """
-    staging = f"{warehouse.root}/staging"
-    state = warehouse.state()
-    stage_new_files(spark, landing, staging, state.run + 1, timestamp_pattern, multi_line)
-    # Only a merge sets stores_run.
-    good, _ = staged_since(spark, staging, state.stores_run or 0)
-    if good.isEmpty():
-        return None
-    return run_etl(warehouse, good)
+    staging, notes = f"{warehouse.root}/staging", f"{warehouse.root}/merged_loads"
+    noted = T.StructType([T.StructField("load", T.LongType())])
+    spark.range(0).select(F.col("id").alias("load")).write.mode("ignore").parquet(notes)
+    merged = spark.read.schema(noted).parquet(notes).agg(F.coalesce(F.max("load"), F.lit(0))).first()[0]
+    stage_new_files(spark, landing, staging, time.time_ns() // 1_000_000, timestamp_pattern, multi_line)
+    good, _ = staged_since(spark, staging, merged)
+    # One row for each call that has staged rows since the last merge.
+    pending = sorted(r["load"] for r in good.select("load").distinct().collect())
+    total = None
+    for load in pending:
+        result = run_etl(warehouse, good.filter(F.col("load") == load).drop("load"))
+        spark.range(load, load + 1).select(F.col("id").alias("load")).write.mode("append").parquet(notes)
+        if total is not None:
+            result = RunResult(result.run, total.rows_processed + result.rows_processed, total.months | result.months)
+        total = result
+    return total
