@@ -2,13 +2,16 @@
 
 A row for each document and key would be most of the corpus again. Documents are therefore gathered
 into blocks of bounded text, and a block has a dictionary of its distinct keys. Only the
-dictionaries are joined, one row for each block and key; the values come back to the block as one
-array, and each document holds places in it and how often it uses them.
+dictionaries are dealt by key, one row for each block and key, so that a key's value is worked out once; the
+values come back to the block, where each document holds places in the dictionary and how often it
+uses them.
 """
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,90 +19,132 @@ from tillworks.session import saved
 
 #: Characters of text after which a block is closed.
 BLOCK_CHARS = 16_000_000
+#: Keys of a dictionary in one row.
+_PART = 20_000
+_TASK = 1 << 20  # blocks that a task may write
+
+
+def pack(places: np.ndarray, times: np.ndarray, compress) -> bytes:
+    """Ascending places and how often each is used, as compressed byte planes."""
+    both = np.concatenate([np.diff(places, prepend=0), times]).astype("<u4")
+    return compress(both.view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def unpack(packed: bytes, decompress) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(decompress(packed), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
+    half = len(both) // 2
+    return np.cumsum(both[:half]), both[half:]
 
 
-def uses(docs: DataFrame, key_type: T.DataType, new_block, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Write, for each document, its keys as places in its block's dictionary; and the dictionaries.
+def uses(docs: DataFrame, key_type: T.DataType, new_block: Callable, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """Written table of every document's keys as places in its block's dictionary, and of the dictionaries.
 
     new_block() returns (take, keys): take(text) gives the places of a text's keys in the block's
     dictionary as an array with repeats, keys() the dictionary so far. Rows of documents have
-    doc_id, n_bytes, at and times; rows of dictionaries have keys. A dictionary comes in parts of
-    bounded length, each with the place of its first key.
+    doc_id, n_bytes and packed; rows of dictionaries have keys, in parts of bounded length, and the
+    place of the first one. A block is named by the task that wrote it: the table is only read after.
     """
-    id_field = docs.schema["doc_id"]
-    schema = T.StructType(
-        [
-            T.StructField("block", T.IntegerType()),
-            T.StructField("doc_id", id_field.dataType),
-            T.StructField("n_bytes", T.LongType()),
-            T.StructField("at", T.ArrayType(T.IntegerType())),
-            T.StructField("times", T.ArrayType(T.IntegerType())),
-            T.StructField("first", T.IntegerType()),
-            T.StructField("keys", T.ArrayType(key_type)),
-        ]
-    )
-    arrow_key = pa.string() if isinstance(key_type, T.StringType) else pa.int64()
-    part_length = 20_000
+    fields = [
+        T.StructField("block", T.LongType()),
+        T.StructField("doc_id", docs.schema["doc_id"].dataType),
+        T.StructField("n_bytes", T.LongType()),
+        T.StructField("packed", T.BinaryType()),
+        T.StructField("first", T.IntegerType()),
+        T.StructField("keys", T.ArrayType(key_type)),
+    ]
+    names = [f.name for f in fields]
+    keys_type = pa.list_(pa.string() if isinstance(key_type, T.StringType) else pa.int64())
 
     def gather(batches):
-        block, chars, dictionary = 0, 0, None
-        names = [f.name for f in schema.fields]
+        import zstandard
+        from pyspark import TaskContext
+
+        compress = zstandard.ZstdCompressor(level=3).compress
+        block, chars, take, dictionary = TaskContext.get().partitionId() * _TASK, 0, None, None
 
         def close():
             keys = dictionary()
-            for i in range(0, len(keys), part_length):
-                part = pa.array([keys[i : i + part_length]], pa.list_(arrow_key))
-                nulls = [pa.nulls(1, x) for x in (id_type, pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))]
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), *nulls, pa.array([i], pa.int32()), part], names)
+            for i in range(0, len(keys), _PART):
+                nulls = [pa.nulls(1, t) for t in (id_type, pa.int64(), pa.binary())]
+                ends = [pa.array([i], pa.int32()), pa.array([keys[i : i + _PART]], keys_type)]
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *nulls, *ends], names)
 
         for batch in batches:
-            id_type = batch.column(0).type
-            row = 0
+            id_type, row = batch.column(0).type, 0
             while row < batch.num_rows:
                 if dictionary is None:
                     take, dictionary = new_block()
-                size, at, times, begin = [], [], [], row
+                size, packed, begin = [], [], row
                 while row < batch.num_rows and chars < block_chars:
                     text = batch.column(1)[row].as_py() or ""
-                    places, n = np.unique(take(text), return_counts=True)
                     size.append(len(text.encode()))
-                    at.append(places.astype(np.int32))
-                    times.append(n.astype(np.int32))
+                    packed.append(pack(*np.unique(take(text), return_counts=True), compress))
                     chars += len(text)
                     row += 1
                 n = row - begin
-                columns = [pa.array([block] * n, pa.int32()), batch.column(0).slice(begin, n), pa.array(size, pa.int64())]
-                columns += [pa.array(x, pa.list_(pa.int32())) for x in (at, times)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.nulls(n, pa.int32()), pa.nulls(n, pa.list_(arrow_key))], names)
+                columns = [pa.array([block] * n, pa.int64()), batch.column(0).slice(begin, n), pa.array(size, pa.int64())]
+                columns += [pa.array(packed, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, keys_type)]
+                yield pa.RecordBatch.from_arrays(columns, names)
                 if chars >= block_chars:
                     yield from close()
                     block, chars, dictionary = block + 1, 0, None
         if dictionary is not None:
             yield from close()
 
-    # A block is named by the task that wrote it: the table is written once and then only read.
-    rows = docs.select("doc_id", "text").mapInArrow(gather, schema)
-    return saved(rows.withColumn("task", F.spark_partition_id()))
+    return saved(docs.select("doc_id", "text").mapInArrow(gather, T.StructType(fields)))
 
 
-def dictionary(used: DataFrame) -> DataFrame:
-    """(task, block, place, key) of all dictionaries."""
-    parts = used.filter(F.col("keys").isNotNull())
-    return parts.select("task", "block", "first", F.posexplode("keys").alias("i", "key")).select(
-        "task", "block", (F.col("first") + F.col("i")).alias("place"), "key"
-    )
+def values(used: DataFrame, value_of: Callable) -> DataFrame:
+    """(block, places, values) for parts of each block's dictionary.
 
+    All rows of a key meet in one task, at most one for each block, and lie together there, so
+    value_of()(key) is called once for each distinct key of the corpus.
+    """
+    parts = used.filter(F.col("keys").isNotNull())
+    each = parts.select("block", "first", F.posexplode("keys").alias("i", "key"))
+    dealt = each.select("key", "block", (F.col("first") + F.col("i")).alias("place")).repartition("key").sortWithinPartitions("key")
 
-def totals(used: DataFrame, values: DataFrame, value: Column, kind: str) -> DataFrame:
+    def evaluate(batches):
+        of, last, value = value_of(), None, 0
+        for batch in batches:
+            out = np.empty(batch.num_rows, np.int32)
+            for i, key in enumerate(batch.column(0).to_pylist()):
+                if key != last:
+                    last, value = key, of(key)
+                out[i] = value
+            block, place = np.asarray(batch.column(1)), np.asarray(batch.column(2))
+            order = np.lexsort((place, block))
+            block, place, out = block[order], place[order], out[order]
+            cuts = np.flatnonzero(np.diff(block)) + 1
+            heads = block[np.concatenate([[0], cuts])] if len(block) else block
+            lists = [pa.array(np.split(x, cuts) if len(x) else [], pa.list_(pa.int32())) for x in (place, out)]
+            yield pa.RecordBatch.from_arrays([pa.array(heads, pa.int64()), *lists], ["block", "places", "values"])
+
+    return dealt.mapInArrow(evaluate, "block long, places array<int>, values array<int>")
+
+
+def totals(used: DataFrame, found: DataFrame) -> DataFrame:
     """Per document: doc_id, n_bytes and `total`, the sum over its keys of times used * value.
 
-    values has key and the columns of `value`, which is not null; every key of a dictionary has a row
-    there. A document without keys has total 0.
+    A task holds a block's documents and values, whose number the block's size bounds. A document
+    without keys has total 0.
     """
-    known = dictionary(used).join(values, "key").select("task", "block", F.struct("place", value.cast(kind).alias("v")).alias("x"))
-    back = known.groupBy("task", "block").agg(F.array_sort(F.collect_list("x")).alias("x")).select("task", "block", F.col("x.v").alias("v"))
-    docs = used.filter(F.col("at").isNotNull()).select("task", "block", "doc_id", "n_bytes", "at", "times")
-    each = F.zip_with("at", "times", lambda i, n: F.get("v", i) * n)
-    total = F.coalesce(F.aggregate(each, F.lit(0).cast(kind), lambda s, x: s + x), F.lit(0).cast(kind))
-    # A block without any key has no values.
-    return docs.join(back, ["task", "block"], "left").select("doc_id", "n_bytes", total.alias("total"))
+    docs = used.filter(F.col("packed").isNotNull()).select("block", "doc_id", "n_bytes", "packed")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def add(left: pa.Table, right: pa.Table) -> pa.Table:
+        import zstandard
+
+        decompress = zstandard.ZstdDecompressor().decompress
+        places, numbers = ([np.asarray(x.values) for x in right.column(c)] for c in ("places", "values"))
+        table = np.zeros(sum(map(len, places)), np.int64)
+        for p, v in zip(places, numbers):
+            table[p] = v
+        sums = []
+        for packed in left.column("packed"):
+            at, times = unpack(packed.as_py(), decompress)
+            sums.append(int(table[at] @ times) if len(at) else 0)
+        return pa.table({"doc_id": left.column("doc_id"), "n_bytes": left.column("n_bytes"), "total": pa.array(sums, pa.int64())})
+
+    together = docs.groupBy("block").cogroup(found.groupBy("block"))
+    return together.applyInArrow(add, f"doc_id {kind}, n_bytes long, total long")

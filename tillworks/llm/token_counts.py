@@ -6,9 +6,7 @@ times that number.
 """
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillworks.llm import block_join
@@ -57,11 +55,6 @@ def count(docs: DataFrame, path: str, block_chars: int = block_join.BLOCK_CHARS)
     other than doc_id and text play no part; an empty table gives an empty one.
     """
 
-    @F.arrow_udf(T.IntegerType())
-    def pieces(keys: pa.Array) -> pa.Array:
-        encoder = library_encoder(path)
-        return pa.array([encoder.count_piece(k) for k in keys.to_pylist()], pa.int32())
-
     used = block_join.uses(docs, T.StringType(), lambda: _new_block(path), block_chars)
-    counted = block_join.dictionary(used).select("key").distinct().withColumn("n", pieces("key"))
-    return block_join.totals(used, counted, F.col("n"), "long").withColumnRenamed("total", "n_tokens")
+    counted = block_join.values(used, lambda: library_encoder(path).count_piece)
+    return block_join.totals(used, counted).withColumnRenamed("total", "n_tokens")
