@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 import zstandard
@@ -296,6 +297,10 @@ def test_queries_over_the_smallest_tables(spark):
     assert {r["doc_id"]: tuple(r[c] for c in QUALITY) for r in q.op10_compression_bands(spark, SF).collect()} == {i: slow_quality(t) for i, t in rows}
     want = {i: (n, c) for (i, _), (_, n, c) in zip(rows, slow_components(rows, 2, 80))}
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in q.op9_minmax_dedup(spark, SF).collect()} == want
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    sql = con.sql(q.oracle_sql()["op9_minmax_dedup"]).select("doc_id, n_shingles, component_id, kept").fetchall()
+    assert {i: (n, c) for i, n, c, _ in sql} == want and all(k == (i == c) for i, _, c, k in sql)
     kept = dict(zip(texts, slow_runs(rows, line_runs.MIN_WORDS)))
     sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
     assert {r["doc_id"]: r["kept_sha256"] for r in q.op8_line_runs(spark, SF).collect()} == {i: sha(t) for i, t in kept.items()}

@@ -83,8 +83,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_prefix_bpe, op2_robust_graph, op3_token_counts, op4_pii_crf, op5_ngram_difference, op6_harmonic_packing, op7_simple8b, op8_line_runs, op9_minmax_dedup, op10_compression_bands)
 }
 
-#: SQL counterparts by query; none of the methods so far can be put in SQL.
-ORACLE_SQL: dict[str, str] = {}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+#: SQL counterparts by query. Near duplicates are the one result that a method finds in full and SQL
+#: can express; the others need a library, a model or a graph search.
+ORACLE_SQL: dict[str, str] = {
+    "op9_minmax_dedup": f"""WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\\x20\\x09-\\x0D]+') AS w
+        FROM documents
+    ),
+    sets AS (
+        SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(
+            list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+        FROM words
+    ),
+    shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+    links AS (
+        SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b USING (shingle)
+        WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n
+        HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+    ),
+    reached AS (
+        SELECT doc_id, doc_id AS other FROM sets
+        UNION
+        SELECT r.doc_id, l.y FROM reached r JOIN links l ON l.x = r.other
+    ),
+    roots AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+    SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM sets JOIN roots USING (doc_id)""",
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
