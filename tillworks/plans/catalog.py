@@ -9,6 +9,7 @@ from tillworks.operators import checks, merge
 from tillworks.operators.dedup import dedup_transactions
 from tillworks.plans import initial_load, kpi, profile, summary, targets, trends
 from tillworks.plans.mart import Mart, mart
+from tillworks.plans.views import register_views
 from tillworks.schema import RAW_COLUMNS
 from tillworks.sources.csv_load import read_csv
 
@@ -54,6 +55,14 @@ def _after_two_runs(table: str, repeated: bool = False) -> Callable[[Mart], Data
     return read
 
 
+def _through_view(view: str) -> Callable[[Mart], DataFrame]:
+    def read(m: Mart) -> DataFrame:
+        register_views(m.spark, m.warehouse)
+        return m.spark.sql(f"SELECT * FROM {view}")
+
+    return read
+
+
 def _csv_load(m: Mart) -> DataFrame:
     path = f"{m.folder}/csv"
     m.raw.write.mode("overwrite").csv(
@@ -128,6 +137,9 @@ _QUERIES: dict[str, Callable[[Mart], DataFrame]] = {
     "daily_revenue": lambda m: trends.daily_revenue(m.facts),
     "daily_summary": lambda m: summary.daily_summary(m.facts, m.stores),
     "daily_summary_basic": lambda m: summary.daily_summary_basic(m.facts),
+    # the saved views, as a session's SQL reads them
+    "view_revenue_per_store": _through_view("vw_revenue_per_store"),
+    "view_daily_revenue": _through_view("vw_daily_revenue"),
     # rows that break a rule
     "quarantine": lambda m: checks.quarantine(m.raw, AS_OF),
     "error_samples": lambda m: checks.error_samples(m.raw, AS_OF, SAMPLES),

@@ -359,4 +359,5 @@ def oracle_sql() -> dict[str, str]:
         (_QUARANTINE_SELECTS, _BASE + _QUARANTINE),
     ):
         texts.update({name: f"{tables}\n{select}" for name, select in selects.items()})
-    return texts
+    # A view has the rows of the report that it saves.
+    return texts | {f"view_{name}": texts[name] for name in ("revenue_per_store", "daily_revenue")}

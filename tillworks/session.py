@@ -34,8 +34,9 @@ def local_session(cores: int | str = "*", app: str = "tillworks", **conf: str) -
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir, which every executor must reach.
 
-    Where the session names none, the one set with setCheckpointDir counts. Without that too, a temporary folder is made, but only for a local master: on a
-    cluster a machine-local folder would be lost with its executor.
+    Where the session names none, the one set with setCheckpointDir counts. Without that too, a
+    temporary folder is made, but only for a local master: on a cluster a machine-local folder
+    would be lost with its executor.
     """
     named = spark.conf.get(_CHECKPOINT_KEY, None)
     if named:
