@@ -232,7 +232,8 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
     @F.arrow_udf(T.BinaryType())
     def joined(lists: pa.Array) -> pa.Array:
         v = vocabulary(path, pattern)
-        return pa.array([None if x is None else v.decode(x) for x in lists.to_pylist()], pa.binary())
+        # One row at a time: a list of all rows' ids would be far larger than the ids.
+        return pa.array([v.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in lists], pa.binary())
 
     return joined(ids)
 
