@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tillworks.session import saved
 
 #: Characters of text after which a block is closed.
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 32_000_000
 #: Keys of a dictionary in one row.
 _PART = 20_000
 _TASK = 1 << 20  # blocks that a task may write
