@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillworks.llm.library_ids import library_encoder
+from tillworks.llm.library_ids import MEMO_ENTRIES, library_encoder
 from tillworks.session import saved
 
 CAPACITY = 2048
@@ -37,7 +37,8 @@ def cut_lengths(n: int, capacity: int = CAPACITY, least: int = LEAST) -> list[in
 
 
 def cut_pieces(
-    docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY, least: int = LEAST, keep_ids: bool = False
+    docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY, least: int = LEAST, keep_ids: bool = False,
+    memo_entries: int = MEMO_ENTRIES,
 ) -> DataFrame:
     """Pieces of every document: doc_id, start, length, ids_crc32, doc_tokens and the worker that cut them.
 
@@ -51,7 +52,7 @@ def cut_pieces(
     fields += [T.StructField("ids", T.ArrayType(T.IntegerType()))] * keep_ids
 
     def cut(batches):
-        encoder, end = library_encoder(path), int(end_id).to_bytes(4, "little")
+        encoder, end = library_encoder(path, memo_entries), int(end_id).to_bytes(4, "little")
         for batch in batches:
             row, start, length, crc, total, ids = [], [], [], [], [], []
             for i, text in enumerate(batch.column(1)):
@@ -106,14 +107,15 @@ def pack(pieces: DataFrame, order: list[Column], capacity: int = CAPACITY, least
 
 
 def pack_documents(
-    docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY, least: int = LEAST, keep_ids: bool = False
+    docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY, least: int = LEAST, keep_ids: bool = False,
+    memo_entries: int = MEMO_ENTRIES,
 ) -> DataFrame:
     """Every document's pieces with their sequence and place in it.
 
     The pieces are written once: a worker is the task that wrote them, so a recomputed task can't
-    deal them anew. An empty table has no pieces.
+    deal them anew. An empty table has no pieces. memo_entries trades a worker's memory for time.
     """
-    pieces = saved(cut_pieces(docs, path, end_id, capacity, least, keep_ids))
+    pieces = saved(cut_pieces(docs, path, end_id, capacity, least, keep_ids, memo_entries))
     order = [F.col(c) for c in ("doc_id", "start", "length", "doc_tokens", "ids_crc32")]
     return pack(pieces, order, capacity, least)
 

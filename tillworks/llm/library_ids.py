@@ -25,7 +25,7 @@ _PIECES = re.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[0-9]+| ?[^\t\n\r 0-9{_LETTER}]+|[\t\n\r ]+(?![^\t\n\r ])|[\t\n\r ]+"
 )
 #: Distinct parts and pieces remembered in each of two generations, and the longest one kept.
-MEMO_ENTRIES = 200_000
+MEMO_ENTRIES = 350_000
 MEMO_LENGTH = 48
 
 
@@ -67,7 +67,7 @@ def words(text: str) -> list[str]:
 class LibraryEncoder:
     """Encodes with one tokenizer file; ids come as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, entries: int = MEMO_ENTRIES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -84,9 +84,9 @@ class LibraryEncoder:
             and self._pre.use_regex
             and not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values())
         )
-        self._piece = Memo(self._encode_piece, entries=MEMO_ENTRIES // 2)
+        self._piece = Memo(self._encode_piece, entries=entries // 2)
         self._first = Memo(self._encode_part, entries=20_000)
-        self._later = Memo(lambda word: self._encode_part(" " + word))
+        self._later = Memo(lambda word: self._encode_part(" " + word), entries=entries)
 
     def _encode_piece(self, piece: str) -> bytes:
         letters = piece.encode().decode("latin-1").translate(_LETTERS)
@@ -136,6 +136,6 @@ class LibraryEncoder:
 
 
 @functools.lru_cache(maxsize=1)
-def library_encoder(path: str) -> LibraryEncoder:
-    """One encoder in each Python worker, kept from task to task."""
-    return LibraryEncoder(path)
+def library_encoder(path: str, entries: int = MEMO_ENTRIES) -> LibraryEncoder:
+    """One encoder in each Python worker, kept from task to task; it remembers 2 * entries parts at most."""
+    return LibraryEncoder(path, entries)
