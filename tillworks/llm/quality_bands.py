@@ -143,16 +143,14 @@ def fit_bands(
     )
     # At most max_rows ids: their size is bounded by that parameter.
     sample = docs.select("doc_id", "text").join(F.broadcast(good), F.col("doc_id") == F.col("_id"), "left_semi")
-    f = sample.select(features(F.col("text"), chunk_bytes).alias("f")).filter(~base_failed(F.col("f")))
-    # Both levels in one table: class -1 holds the chunks.
-    ratios = f.select(
-        F.explode(
-            F.concat(
-                F.array(F.struct(length_class(F.col("f.n_bytes")).alias("k"), F.col("f.ratio").alias("r"))),
-                F.transform("f.chunk_ratios", lambda r: F.struct(F.lit(-1).alias("k"), r.alias("r"))),
-            )
-        ).alias("x")
+    f = sample.select(features(F.col("text"), chunk_bytes).alias("f"))
+    # Both levels in one table: class -1 holds the chunks. A filter on the features would be moved
+    # below the join and measure every document, so those that fail give no ratios instead.
+    both = F.concat(
+        F.array(F.struct(length_class(F.col("f.n_bytes")).alias("k"), F.col("f.ratio").alias("r"))),
+        F.transform("f.chunk_ratios", lambda r: F.struct(F.lit(-1).alias("k"), r.alias("r"))),
     )
+    ratios = f.select(F.explode(F.when(~base_failed(F.col("f")), both)).alias("x"))
     rows = ratios.groupBy("x.k").agg(F.count("*").alias("n"), F.avg("x.r").alias("m"), F.stddev_pop("x.r").alias("s")).collect()
     fitted = {}
     for r in rows:  # at most a row for each class
