@@ -242,6 +242,20 @@ def test_skip_edges_carry_labels_and_strangers_stay(documents):
     assert pii_crf.find_personal(docs.filter("false")).count() == 0
 
 
+@pytest.mark.parametrize("repeats", [1, 2, 5, 50])
+@pytest.mark.parametrize("marked, unmarked, kind", [("+1 (988) 555-2485", "988-555-2485", "phone"), ("ann.b42@mail8.example.com", "ann.b42@mail8", "email"), ("4041894974608795", "4608795", "card")])
+@pytest.mark.parametrize("first", [True, False])
+def test_every_repeat_is_found_however_many(repeats, marked, unmarked, kind, first):
+    # The fitted form of the potentials at the prior agreement: no pattern marks the shape.
+    none = np.log(np.array([0.9] + [0.025] * 4))
+    model = pii_crf.Model({}, none, np.zeros((5, 5)), float(np.log(50) + np.log(4)))
+    parts = [f"reach {unmarked} as was said some time ago" for _ in range(repeats)]
+    text = "\n".join([f"now {marked} it is", *parts] if first else [*parts, f"now {marked} it is"])
+    found = pii_crf.added_spans(text, pii_crf.base_spans(text), model)
+    want = [m.span() for m in re.finditer(rf"(?<=reach ){re.escape(unmarked)}(?= as)", text)]
+    assert len(want) == repeats and [s for s in found if s[0] == kind] == [(kind, a, b) for a, b in want]
+
+
 def test_message_passing_is_exact_on_a_tree():
     rng = np.random.default_rng(4)
     f = pii_crf.Field([(i, i + 1) for i in range(4)], [("s", i) for i in range(4)], [0, 2, 0, 0], [(0, 1), (1, 2)], [(1, 3)])

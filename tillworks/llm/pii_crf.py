@@ -4,7 +4,8 @@ The patterns find the base spans. A document's further candidates, words with a
 are the variables of a random field together with the words of the base spans, which are observed.
 Chain edges join candidates that stand together; skip edges join words that repeat or resemble each
 other anywhere in the document, such as a number written once with and once without its country
-code. Loopy message passing carries a label along them, so an entity keeps its label throughout.
+code. Every such word is joined to the observed ones themselves, so an entity keeps its label
+throughout, however often it repeats; message passing goes on until the labels settle.
 
 Potentials are counted over all documents, with the base spans as labels: how often words of a shape
 have a label, which labels stand together, and how often similar words agree.
@@ -81,6 +82,7 @@ class Field:
     labels: list[int]  # of base spans; 0 where there is none
     chain: list[tuple[int, int]]
     skip: list[tuple[int, int]]
+    like: list[tuple[int, int]] | tuple = ()  # each word and the latest one like it; only counted
 
 
 def _shape(word: str) -> tuple:
@@ -113,8 +115,9 @@ def _keys(word: str) -> list[tuple[str, str]]:
 
 
 def field(text: str, base: list[tuple[str, int, int]]) -> Field:
-    """Variables in text order. Similar words are joined one to the next, so edges stay linear in them."""
-    out = Field([], [], [], [], [])
+    """Variables in text order, with at most two skip edges a word, so edges stay linear in them."""
+    out = Field([], [], [], [], [], [])
+    keys: list[list[tuple[str, str]]] = []
     marked = sorted((a, b, LABELS.index(k)) for k, a, b in base)
     seen: dict[tuple[str, str], int] = {}
     at = 0
@@ -133,14 +136,48 @@ def field(text: str, base: list[tuple[str, int, int]]) -> Field:
         if i and len(text[out.spans[-1][1] : start].split(None, 2)) <= 1 and start - out.spans[-1][1] <= 24:
             out.chain.append((i - 1, i))
         word = text[start:end]
-        for key in _keys(word):
+        keys.append(_keys(word))
+        for key in keys[i]:
             j = seen.get(key)
-            if j is not None and (j, i) not in out.skip[-2:]:
-                out.skip.append((j, i))
+            if j is not None and (j, i) not in out.like[-2:]:
+                out.like.append((j, i))
             seen[key] = i
         out.spans.append((start, end))
         out.shapes.append(_shape(word))
         out.labels.append(inside[0][2] if inside else 0)
+    out.skip += _skip_edges(keys, out.labels)
+    return out
+
+
+def _skip_edges(keys: list[list[tuple[str, str]]], labels: list[int]) -> list[tuple[int, int]]:
+    """Each unmarked word with the marked words of its kin next before and after it.
+
+    Kin are the words that share keys, by way of others too. In a chain of unmarked repeats each
+    would add its own bias and only the first would meet the evidence. Kin without a marked word
+    are joined one to the next.
+    """
+    parent: dict[tuple[str, str], tuple[str, str]] = {}
+
+    def root(key):
+        while parent.setdefault(key, key) != key:
+            parent[key] = parent[parent[key]]
+            key = parent[key]
+        return key
+
+    for own in keys:
+        for key in own[1:]:
+            parent[root(key)] = root(own[0])
+    kin = [root(own[0]) for own in keys]
+    known = {k for k, y in zip(kin, labels) if y}
+    out = []
+    for order in (range(len(kin)), range(len(kin) - 1, -1, -1)):
+        last: dict[tuple[str, str], int] = {}
+        for i in order:
+            k = kin[i]
+            if not labels[i] and k in last and (k in known or last[k] < i):
+                out.append((last[k], i))
+            if labels[i] or k not in known:
+                last[k] = i
     return out
 
 
@@ -168,7 +205,7 @@ def _statistics(docs: DataFrame) -> DataFrame:
                 f = field(text, base)
                 n.update(("shape", repr(s), y) for s, y in zip(f.shapes, f.labels))
                 n.update(("chain", LABELS[f.labels[i]], f.labels[j]) for i, j in f.chain)
-                n.update(("skip", LABELS[f.labels[i]], f.labels[j]) for i, j in f.skip if f.labels[i] or f.labels[j])
+                n.update(("skip", LABELS[f.labels[i]], f.labels[j]) for i, j in f.like if f.labels[i] or f.labels[j])
             rows = [(*k, v) for k, v in n.items()]
             what, a, b, v = zip(*rows) if rows else ((), (), (), ())
             arrays = [pa.array(what, pa.string()), pa.array(a, pa.string()), pa.array(b, pa.int32()), pa.array(v, pa.int64())]
@@ -216,8 +253,12 @@ def fit(docs: DataFrame, missed: float = 0.1, agreeing: int = 50) -> Model:
     )
 
 
-def marginals(f: Field, model: Model, rounds: int = 20, damping: float = 0.5) -> np.ndarray:
-    """Label probabilities of all variables by loopy message passing; base labels are held."""
+def marginals(f: Field, model: Model, rounds: int = 2000, damping: float = 0.5, settled: float = 1e-6) -> np.ndarray:
+    """Label probabilities of all variables by loopy message passing; base labels are held.
+
+    Messages are passed until none changes by more than `settled`; `rounds` only ends those that
+    swing for ever.
+    """
     n, k = len(f.spans), len(LABELS)
     node = np.array([model.shapes.get(repr(s), model.other) for s in f.shapes]).reshape(n, k)
     held = np.array(f.labels, int)
@@ -238,7 +279,11 @@ def marginals(f: Field, model: Model, rounds: int = 20, damping: float = 0.5) ->
             x = (total[source] - m[back])[:, :, None] + potential
             top = x.max(axis=1)
             new = top + np.log(np.exp(x - top[:, None]).sum(axis=1))
-            m = damping * m + (1 - damping) * (new - new.max(axis=1, keepdims=True))
+            new = damping * m + (1 - damping) * (new - new.max(axis=1, keepdims=True))
+            moved = np.abs(new - m).max()
+            m = new
+            if moved < settled:
+                break
         np.add.at(node, target, m)
     p = np.exp(node - node.max(axis=1, keepdims=True))
     return p / p.sum(axis=1, keepdims=True)
