@@ -302,6 +302,46 @@ def test_scores_tell_the_target_from_the_rest(spark, documents):
     assert ngram_difference.score(none, ngram_difference.fit(none, good)).count() == 0
 
 
+@pytest.mark.parametrize("block_bytes", [3000, ngram_difference.BLOCK_BYTES])
+def test_no_two_ngrams_share_a_count(spark, documents, block_bytes):
+    rng = random.Random(3)
+    many = lambda: "".join(chr(rng.choice([rng.randrange(1, 128), rng.randrange(0x4E00, 0x9FFF), rng.randrange(0x400, 0x500)])) for _ in range(1200))
+    rows = [(i, many()) for i in range(40)] + [(90, "seen only when scored"), (91, ""), (92, None)]
+    docs = documents(*rows)
+    models = ngram_difference.fit(docs.filter("doc_id < 40"), spark.createDataFrame([(i,) for i in range(0, 40, 4)], "doc_id long"))
+    counts = {k: [Counter(), Counter()] for k in (4, 3, 2)}
+    for i, t in rows[:40]:
+        raw = bytes(3) + t.encode()
+        for m in range(2) if i % 4 == 0 else (1,):
+            for k, of in ((4, slice(0, 4)), (3, slice(0, 3)), (2, slice(2, 4))):
+                counts[k][m].update(raw[j : j + 4][of] for j in range(len(raw) - 3))
+
+    def slow(t, m, w=16.0):
+        raw, out = bytes(3) + t.encode(), 0.0
+        last, first, n = ones[m]
+        for j in range(len(raw) - 3):
+            g = raw[j : j + 4]
+            p2 = (counts[2][m][g[2:]] + w * (last[g[3]] + 1) / (n + 256)) / (first[g[2]] + w)
+            out -= np.log((counts[4][m][g] + w * p2) / (counts[3][m][g[:3]] + w))
+        return out / (len(raw) - 3)
+
+    ones = []
+    for m in range(2):
+        last, first = Counter(), Counter()
+        for g, n in counts[2][m].items():
+            last[g[1]] += n
+            first[g[0]] += n
+        ones.append((last, first, sum(last.values())))
+    got = {r["doc_id"]: r for r in ngram_difference.score(docs, models, block_bytes).collect()}
+    assert len(got) == len(rows) and models.gram.count() == len(counts[4][1])
+    for i, t in rows:
+        if t:
+            assert np.allclose([got[i]["target_loss"], got[i]["background_loss"]], [slow(t, 0), slow(t, 1)], rtol=1e-9, atol=0)
+            assert got[i]["n_bytes"] == len(t.encode())
+        else:
+            assert got[i]["n_bytes"] == 0 and got[i]["score"] is None
+
+
 @pytest.mark.skipif(not (TESTDATA / "sf0.001").is_dir(), reason="no test tables")
 def test_queries_over_the_smallest_tables(spark):
     from tillworks.llm import queries as q

@@ -13,21 +13,25 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Bytes of an n-gram, and bits of the tables of n-grams and of their contexts. The tables bound what a
-#: worker holds; an exact order-4 table would have 2^32 cells. Two rare n-grams may share a cell.
-ORDER, GRAM_BITS, CONTEXT_BITS = 4, 21, 20
+from tillworks.session import saved
+
+#: Bytes of an n-gram.
+ORDER = 4
 _PAD = bytes(ORDER - 1)  # a document starts after zero bytes
 _STEP = 1 << 20  # bytes worked on at once
-_MIX = np.uint32(0x9E3779B1)
+_HELD = 1 << 21  # distinct n-grams that a counting task holds before it passes them on
+#: Bytes of text after which a block is closed; bounds the n-grams that a scoring task holds.
+BLOCK_BYTES = 8 << 20
+_PART = 20_000  # n-grams of a dictionary in one row
+_TASK = 1 << 20  # blocks that a task may write
 
 
-def cells(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Table cells of each n-gram, its context, and its last two bytes; raw begins with the padding."""
+def grams(raw: np.ndarray) -> np.ndarray:
+    """Each n-gram as a number, its first byte highest; raw begins with the padding."""
     a = raw.astype(np.uint32)
-    gram = a[:-3] << np.uint32(24) | a[1:-2] << np.uint32(16) | a[2:-1] << np.uint32(8) | a[3:]
-    context = gram >> np.uint32(8)
-    return (gram * _MIX) >> np.uint32(32 - GRAM_BITS), (context * _MIX) >> np.uint32(32 - CONTEXT_BITS), gram & np.uint32(0xFFFF)
+    return a[:-3] << np.uint32(24) | a[1:-2] << np.uint32(16) | a[2:-1] << np.uint32(8) | a[3:]
 
 
 def steps(texts: list[bytes]):
@@ -60,96 +64,206 @@ def _piece(held: list[bytes], owners: list[int]) -> tuple[np.ndarray, np.ndarray
     return raw, owner
 
 
+def _merged(parts: list[tuple[np.ndarray, ...]]) -> list[tuple[np.ndarray, ...]]:
+    """One (gram, target, background) of many, each n-gram once."""
+    gram, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    counts = [np.bincount(where, np.concatenate([p[k] for p in parts]), len(gram)).astype(np.int64) for k in (1, 2)]
+    return [(gram, *counts)]
+
+
 def _counts(docs: DataFrame) -> DataFrame:
-    """(cell, target, background): counts over all documents, where docs has text and good."""
-    sizes = (1 << GRAM_BITS, 1 << CONTEXT_BITS, 1 << 16)
-    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    """(gram, target, background): exact counts over all documents, where docs has text and good."""
+    names = ["gram", "target", "background"]
+
+    def rows(parts):
+        for gram, target, background in parts:
+            for i in range(0, len(gram), 100_000):
+                at = slice(i, i + 100_000)
+                yield pa.RecordBatch.from_arrays([pa.array(gram[at].view(np.int32)), pa.array(target[at]), pa.array(background[at])], names)
 
     def count(batches):
-        total = np.zeros((2, offsets[-1]), np.int64)
+        parts, size = [], 0
         for batch in batches:
             texts = [(t.as_py() or "").encode() for t in batch.column(0)]
             good = np.array([bool(g.as_py()) for g in batch.column(1)])
             for raw, owner in steps(texts):
                 real = owner >= 0
-                for target in (1, 0):
-                    mask = real & good[owner] if target else real
-                    if mask.any():
-                        for k, cell in enumerate(cells(raw)):
-                            total[1 - target, offsets[k] : offsets[k + 1]] += np.bincount(cell[mask], minlength=sizes[k])
-        used = np.flatnonzero(total[1])
-        for i in range(0, len(used), 100_000):
-            part = used[i : i + 100_000]
-            columns = [part.astype(np.int32), total[0, part], total[1, part]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["cell", "target", "background"])
+                gram, where = np.unique(grams(raw)[real], return_inverse=True)
+                target = np.bincount(where, good[owner[real]], len(gram)).astype(np.int64)
+                parts.append((gram, target, np.bincount(where, minlength=len(gram))))
+                size += len(gram)
+                if size >= _HELD:
+                    parts = _merged(parts)
+                    size = len(parts[0][0])
+                    if size >= _HELD // 2:
+                        yield from rows(parts)
+                        parts, size = [], 0
+        yield from rows(_merged(parts) if parts else [])
 
-    counted = docs.mapInArrow(count, "cell int, target long, background long")
-    return counted.groupBy("cell").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+    counted = docs.mapInArrow(count, "gram int, target long, background long")
+    return counted.groupBy("gram").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
 
 
 @dataclass(frozen=True)
 class Models:
-    """Count tables of the two models: rows are target and background."""
+    """Exact counts of the two models.
+
+    `gram` has (gram, target, background), `context` (context, context_target, context_background),
+    both as written tables; `two` has the counts of byte pairs, rows are target and background.
+    """
 
-    gram: np.ndarray
-    context: np.ndarray
+    gram: DataFrame
+    context: DataFrame
     two: np.ndarray
     weight: float
 
-    def losses(self, raw: np.ndarray) -> np.ndarray:
-        """Loss in nats of each byte after the padding under either model."""
-        gram, context, two = cells(raw)
-        out = np.empty((2, len(gram)))
+    def backed_off(self) -> np.ndarray:
+        """Order-2 probabilities of byte pairs under either model, to which an order-4 count backs off."""
+        out = np.empty((2, 1 << 16))
         for m in range(2):
             pairs = self.two[m].reshape(256, 256)
             one = pairs.sum(axis=0) + 1.0
-            p = np.log(one / one.sum())
             before = pairs.sum(axis=1)
-            p2 = (pairs + self.weight * np.exp(p)[None, :]) / (before[:, None] + self.weight)
-            seen = np.minimum(self.gram[m][gram], self.context[m][context])
-            out[m] = -np.log((seen + self.weight * p2.ravel()[two]) / (self.context[m][context] + self.weight))
+            out[m] = ((pairs + self.weight * (one / one.sum())[None, :]) / (before[:, None] + self.weight)).ravel()
         return out
 
+    def losses(self, keyed: DataFrame) -> DataFrame:
+        """(block, gram, target, background): losses in nats of each n-gram of keyed (block, gram)."""
+        context = F.shiftrightunsigned("gram", 8).alias("context")
+        counted = keyed.select("block", "gram", context).join(self.context, "context", "left").join(self.gram, "gram", "left")
+        counts = ["target", "background", "context_target", "context_background"]
+        counted = counted.select("block", "gram", *[F.coalesce(c, F.lit(0)).alias(c) for c in counts])
+        p2, weight = self.backed_off(), self.weight  # 2 * 65,536 numbers whatever the input
+
+        def measure(batches):
+            for batch in batches:
+                two = np.asarray(batch.column(1)).view(np.uint32) & np.uint32(0xFFFF)
+                n = [np.asarray(batch.column(k)) for k in range(2, 6)]
+                loss = [-np.log((n[m] + weight * p2[m][two]) / (n[2 + m] + weight)) for m in range(2)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, loss)], ["block", "gram", "target", "background"])
+
+        return counted.mapInArrow(measure, "block long, gram int, target double, background double")
+
 
 def fit(docs: DataFrame, good: DataFrame, weight: float = 16.0) -> Models:
     """Count both models over all of docs; `good` has the doc_id of the target's documents.
 
-    Every document counts for the background, each good one for the target too. What the driver and
-    the workers hold is bounded by the tables' size, 2^21 + 2^20 + 2^16 cells; the counts in them grow
-    with the documents.
+    Every document counts for the background, each good one for the target too. Every n-gram that
+    occurs has a row of its own in the counts; the driver sees those of byte pairs alone.
     """
     ids = good.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct().withColumn("good", F.lit(True))
     # Labels grow with the documents, so they are never broadcast, however few they are.
     flagged = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
-    table = _counts(flagged).toArrow()
-    total = np.zeros((2, (1 << GRAM_BITS) + (1 << CONTEXT_BITS) + (1 << 16)), np.float32)
-    at = np.asarray(table.column("cell"))
-    total[0, at], total[1, at] = np.asarray(table.column("target")), np.asarray(table.column("background"))
-    gram, context, two = np.split(total, [1 << GRAM_BITS, (1 << GRAM_BITS) + (1 << CONTEXT_BITS)], axis=1)
+    gram = saved(_counts(flagged))
+    sums = [F.sum("target").alias("target"), F.sum("background").alias("background")]
+    context = gram.groupBy(F.shiftrightunsigned("gram", 8).alias("context")).agg(*sums)
+    context = saved(context.toDF("context", "context_target", "context_background"))
+    table = gram.groupBy(F.col("gram").bitwiseAND(0xFFFF).alias("two")).agg(*sums).toArrow()
+    two = np.zeros((2, 1 << 16))
+    at = np.asarray(table.column("two"))
+    two[0, at], two[1, at] = np.asarray(table.column("target")), np.asarray(table.column("background"))
     return Models(gram, context, two, weight)
 
 
-def score(docs: DataFrame, models: Models) -> DataFrame:
+def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
+    """Written table of blocks: rows of packed documents (ids, sizes, texts), and rows of the block's n-grams.
+
+    A block is named by the task that wrote it: the table is only read after.
+    """
+    fields = [
+        T.StructField("block", T.LongType()),
+        T.StructField("ids", T.ArrayType(docs.schema["doc_id"].dataType)),
+        T.StructField("sizes", T.ArrayType(T.LongType())),
+        T.StructField("texts", T.BinaryType()),
+        T.StructField("keys", T.ArrayType(T.IntegerType())),
+    ]
+    names = [f.name for f in fields]
+
+    def gather(batches):
+        import zstandard
+        from pyspark import TaskContext
+
+        compress = zstandard.ZstdCompressor(level=3).compress
+        block, size, found = TaskContext.get().partitionId() * _TASK, 0, []
+        ids, texts, held = [], [], 0
+
+        def pack():
+            kinds = [pa.list_(kind), pa.list_(pa.int64()), pa.binary()]
+            cells = [ids, [len(t) for t in texts], compress(b"".join(texts))]
+            found.extend(np.unique(grams(raw)[owner >= 0]) for raw, owner in steps(texts))
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *[pa.array([c], k) for c, k in zip(cells, kinds)], pa.nulls(1, pa.list_(pa.int32()))], names)
+
+        def close():
+            keys = np.unique(np.concatenate(found)).view(np.int32) if found else np.zeros(0, np.int32)
+            for i in range(0, len(keys), _PART):
+                nulls = [pa.nulls(1, t) for t in (pa.list_(kind), pa.list_(pa.int64()), pa.binary())]
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *nulls, pa.array([keys[i : i + _PART]], pa.list_(pa.int32()))], names)
+
+        for batch in batches:
+            kind = batch.column(0).type
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+                raw = (t.as_py() or "").encode()
+                ids.append(i)
+                texts.append(raw)
+                held += len(raw)
+                size += len(raw)
+                if held >= _STEP or len(ids) >= 10_000:
+                    yield pack()
+                    ids, texts, held = [], [], 0
+                    if len(found) > 4:
+                        found = [np.unique(np.concatenate(found))]
+                if size >= block_bytes:
+                    if ids:
+                        yield pack()
+                    yield from close()
+                    block, size, found, ids, texts, held = block + 1, 0, [], [], [], 0
+        if ids:
+            yield pack()
+        yield from close()
+
+    return saved(docs.select("doc_id", "text").mapInArrow(gather, T.StructType(fields)))
+
+
+def score(docs: DataFrame, models: Models, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per input row: doc_id, n_bytes, mean losses under both models and their difference `score`.
 
-    Whole texts are scored. A null or empty text has no losses and no score. Repeated rows stay apart;
-    columns other than doc_id and text play no part; an empty table gives an empty one.
+    Whole texts are scored. Each block's distinct n-grams are joined to the counts, and their losses
+    come back to the block; a task holds those of one block. A null or empty text has no losses and
+    no score. Repeated rows stay apart; columns other than doc_id and text play no part; an empty
+    table gives an empty one.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(models)  # its size is that of the tables
+    blocks = _blocks(docs, block_bytes)
+    packed = blocks.filter(F.col("texts").isNotNull()).select("block", "ids", "sizes", "texts")
+    keyed = blocks.filter(F.col("keys").isNotNull()).select("block", F.explode("keys").alias("gram"))
 
-    def measure(batches):
-        for batch in batches:
-            texts = [(t.as_py() or "").encode() for t in batch.column(1)]
-            n, loss = np.array([len(t) for t in texts], np.int64), np.zeros((2, len(texts)))
+    def measure(left: pa.Table, right: pa.Table) -> pa.Table:
+        import zstandard
+
+        decompress = zstandard.ZstdDecompressor().decompress
+        gram = np.asarray(right.column("gram")).view(np.uint32)
+        order = np.argsort(gram)
+        gram = gram[order]
+        both = [np.asarray(right.column(c))[order] for c in ("target", "background")]
+        sizes, losses = [np.zeros(0, np.int64)], [np.zeros((2, 0))]
+        for size, packed in zip(left.column("sizes"), left.column("texts")):
+            size, whole = np.array(size.as_py(), np.int64), decompress(packed.as_py())
+            ends = np.cumsum(size)
+            texts = [whole[e - n : e] for e, n in zip(ends.tolist(), size.tolist())]
+            loss = np.zeros((2, len(texts)))
             for raw, owner in steps(texts):
-                both, real = shared.value.losses(raw), owner >= 0
+                real = owner >= 0
+                at = np.searchsorted(gram, grams(raw)[real])
                 for m in range(2):
-                    loss[m] += np.bincount(owner[real], both[m][real], len(texts))
-            empty = n == 0
-            target, background = (x / np.maximum(n, 1) for x in loss)
-            columns = [pa.array(n)] + [pa.array(x, mask=empty) for x in (target, background, target - background)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_bytes", "target_loss", "background_loss", "score"])
+                    loss[m] += np.bincount(owner[real], both[m][at], len(texts))
+            sizes.append(size)
+            losses.append(loss)
+        n, loss = np.concatenate(sizes), np.concatenate(losses, axis=1)
+        empty = n == 0
+        target, background = (x / np.maximum(n, 1) for x in loss)
+        ids = pa.concat_arrays([c.flatten() for c in left.column("ids").chunks])
+        columns = [pa.array(n)] + [pa.array(x, mask=empty) for x in (target, background, target - background)]
+        return pa.table([ids, *columns], ["doc_id", "n_bytes", "target_loss", "background_loss", "score"])
 
     schema = f"doc_id {kind}, n_bytes long, target_loss double, background_loss double, score double"
-    return docs.select("doc_id", "text").mapInArrow(measure, schema)
+    return packed.groupBy("block").cogroup(models.losses(keyed).groupBy("block")).applyInArrow(measure, schema)
