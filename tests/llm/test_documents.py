@@ -71,6 +71,26 @@ def test_bands_are_fitted_on_good_rows_and_reject_the_odd_ones(spark, documents)
     assert quality_bands.judge(copies, quality_bands.fit_bands(copies, labels)).filter("kept").count() == 79
 
 
+def test_every_class_is_fitted_however_small(spark, documents):
+    rng = random.Random(5)
+    good = [(i, prose(rng, 300)) for i in range(12)] + [(50 + i, prose(rng, 40)) for i in range(3)]
+    labels = spark.createDataFrame([(i, 1) for i, _ in good], "doc_id long, quality int")
+    bands = quality_bands.fit_bands(documents(*good), labels)
+    assert sorted(bands.whole) == list(range(quality_bands.CLASSES + 1))
+    wide = quality_bands.Bands()
+    assert all(bands.limits(k) != wide.limits(k) for k in bands.whole) and bands.chunk != wide.chunk
+    kept = {r["doc_id"] for r in quality_bands.judge(documents(*good), bands).filter("kept").collect()}
+    assert kept == {i for i, _ in good}
+
+
+def test_limits_have_no_step_in_the_count():
+    near = (400.0, 2.0, 0.01)
+    limits = [quality_bands.shrunk((n, 1.8, 0.004), near, 50.0, 4.0) for n in range(1, 400)]
+    assert max(abs(a - b) for x, y in zip(limits, limits[1:]) for a, b in zip(x, y)) < 0.02
+    many = quality_bands.shrunk((10**7, 1.8, 0.004), near, 50.0, 4.0)
+    assert np.allclose(many, (1.8 - 4 * 0.004**0.5, 1.8 + 4 * 0.004**0.5), atol=1e-3)
+
+
 def slow_runs(rows, least):
     """Places of lines to go, by row: every maximal run that an earlier place holds too."""
     order = sorted(range(len(rows)), key=lambda r: (rows[r][0] is None, rows[r][0] or 0, r))

@@ -3,9 +3,10 @@
 Prose of a given length compresses by a ratio that varies little. Text far above its band repeats
 itself; text far below is noise. The ratio is zstandard's, over the whole text and over chunks of a
 fixed size, so a repetitive half of a long text shows too. Limits depend on the length: a short
-text compresses less than a long one of the same kind.
+text compresses less than a long one of the same kind. They are fitted on all documents labelled good.
 """
 
+import math
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -19,7 +20,7 @@ FEATURES = T.StructType(
     [T.StructField(n, T.LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_bytes")]
     + [T.StructField("ratio", T.DoubleType()), T.StructField("chunk_ratios", T.ArrayType(T.DoubleType()))]
 )
-#: Limits on the ratio where nothing is fitted: from this many bytes on, at least, at most.
+#: Limits on the ratio without any labelled good document to fit on: from this many bytes on, at least, at most.
 WIDE = ((0, 0.4, 3.0), (256, 0.7, 4.0), (1024, 0.9, 5.0), (4096, 1.0, 6.5), (16384, 1.1, 8.0))
 #: Two classes to each doubling of the length; texts of 2^24 bytes and more share the last one.
 CLASSES = 48
@@ -122,43 +123,68 @@ def in_bands(f: Column, bands: Bands) -> Column:
     return f["ratio"].between(low, high) & (odd <= bands.outside * F.size(f["chunk_ratios"]))
 
 
-def fit_bands(
-    docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, least: int = 50, spread: float = 4.0, chunk_bytes: int = 4096
-) -> Bands:
-    """Limits around the ratios of documents labelled good (quality = 1).
+def fit_bands(docs: DataFrame, labels: DataFrame, weight: float = 50.0, spread: float = 4.0, chunk_bytes: int = 4096) -> Bands:
+    """Limits around the ratios of all documents labelled good (quality = 1).
 
-    The sample is bounded: the `max_rows` labelled good documents with the smallest hashed ids.
-    Each length class with `least` sampled documents or more gets mean +- spread * deviation; the
-    deviation counts as a fiftieth of the mean at least, so many copies of one text can't close the
-    band. Other classes, and all of them without labels, keep the wide default limits. Documents
-    that fail the base rules don't count.
+    Every length class gets mean +- spread * deviation, shrunk towards its neighbours by count, see
+    `shrunk`. The deviation counts as a fiftieth of the mean at least, so many copies of one text
+    can't close the band. Chunks have the texts of their own length for neighbours. Without any good
+    document there is nothing to fit, and the wide limits stay. Documents that fail the base rules
+    don't count.
     """
-    good = (
-        labels.filter(F.col("quality") == 1)
-        .select(F.col("doc_id").alias("_id"))
-        .filter(F.col("_id").isNotNull())
-        .distinct()
-        .orderBy(F.xxhash64("_id"), "_id")
-        .limit(max_rows)
+    good = labels.filter(F.col("quality") == 1).select(F.col("doc_id").alias("_id")).filter(F.col("_id").isNotNull()).distinct()
+    f = docs.select("doc_id", features(F.col("text"), chunk_bytes).alias("f"))
+    # Both levels in one list: class -1 holds the chunks, as their number, sum and sum of squares.
+    add = lambda of: F.aggregate("f.chunk_ratios", F.lit(0.0), lambda x, r: x + of(r))
+    row = lambda k, n, s, q: F.struct(k.cast("int").alias("k"), n.cast("long").alias("n"), s.alias("s"), q.alias("q"))
+    ratio, chunks = F.col("f.ratio"), F.size("f.chunk_ratios")
+    both = F.array(
+        row(length_class(F.col("f.n_bytes")), F.lit(1), ratio, ratio * ratio),
+        row(F.lit(-1), chunks, add(lambda r: r), add(lambda r: r * r)),
     )
-    # At most max_rows ids: their size is bounded by that parameter.
-    sample = docs.select("doc_id", "text").join(F.broadcast(good), F.col("doc_id") == F.col("_id"), "left_semi")
-    f = sample.select(features(F.col("text"), chunk_bytes).alias("f"))
-    # Both levels in one table: class -1 holds the chunks. A filter on the features would be moved
-    # below the join and measure every document, so those that fail give no ratios instead.
-    both = F.concat(
-        F.array(F.struct(length_class(F.col("f.n_bytes")).alias("k"), F.col("f.ratio").alias("r"))),
-        F.transform("f.chunk_ratios", lambda r: F.struct(F.lit(-1).alias("k"), r.alias("r"))),
-    )
-    ratios = f.select(F.explode(F.when(~base_failed(F.col("f")), both)).alias("x"))
-    rows = ratios.groupBy("x.k").agg(F.count("*").alias("n"), F.avg("x.r").alias("m"), F.stddev_pop("x.r").alias("s")).collect()
-    fitted = {}
-    for r in rows:  # at most a row for each class
-        if r["n"] >= least:
-            wide = spread * max(r["s"], r["m"] / 50)
-            fitted[r["k"]] = (r["m"] - wide, r["m"] + wide)
-    chunk = fitted.pop(-1, Bands.chunk)
-    return Bands(whole=fitted, chunk=chunk, chunk_bytes=chunk_bytes)
+    # The texts are measured where they lie, and only the ratios are dealt out. An inner join, as a
+    # semi join would be moved below the features. Labels grow with the documents: no broadcast.
+    narrow = f.select("doc_id", F.when(~base_failed(F.col("f")), both).alias("both"))
+    ratios = narrow.join(good.hint("merge"), F.col("doc_id") == F.col("_id")).select(F.explode("both").alias("x"))
+    rows = ratios.groupBy("x.k").agg(F.sum("x.n").alias("n"), F.sum("x.s").alias("s"), F.sum("x.q").alias("q")).collect()
+    # At most a row for each class.
+    found = {r["k"]: (r["n"], r["s"] / r["n"], max(r["q"] / r["n"] - (r["s"] / r["n"]) ** 2, 0.0)) for r in rows if r["n"]}
+    own_chunks = found.pop(-1, None)
+    if not found:
+        return Bands(chunk_bytes=chunk_bytes)
+    whole = {k: shrunk(found.get(k), _neighbours(found, k), weight, spread) for k in range(CLASSES + 1)}
+    at = min(int(2 * math.log2(max(chunk_bytes, 1))), CLASSES)
+    chunk = shrunk(own_chunks, _neighbours(found, at, own=True), weight, spread)
+    return Bands(whole=whole, chunk=chunk, chunk_bytes=chunk_bytes)
+
+
+def _pooled(parts: list[tuple[float, float, float]]) -> tuple[float, float, float]:
+    """Count, mean and variance of several (count, mean, variance) together."""
+    n = sum(p[0] for p in parts)
+    mean = sum(p[0] * p[1] for p in parts) / n
+    return n, mean, sum(p[0] * (p[2] + (p[1] - mean) ** 2) for p in parts) / n
+
+
+def _neighbours(found: dict, k: int, own: bool = False) -> tuple[float, float, float] | None:
+    """The other classes together; each doubling of the distance in length halves their count."""
+    parts = [(n * 2 ** (-abs(j - k) / 2), m, v) for j, (n, m, v) in found.items() if own or j != k]
+    return _pooled(parts) if parts else None
+
+
+def shrunk(own: tuple | None, near: tuple | None, weight: float, spread: float) -> tuple[float, float]:
+    """Limits from a class's own (count, mean, variance) and its neighbours', continuous in the counts.
+
+    The neighbours count as `weight` documents at most, so a class of many keeps its own mean and
+    deviation and one of none takes theirs. Limits widen by sqrt(1 + weight / documents), since the
+    mean and deviation of few are uncertain.
+    """
+    support = (own[0] if own else 0) + (near[0] if near else 0)
+    parts = [own] if own else []
+    if near:
+        parts.append((weight * near[0] / (weight + near[0]), near[1], near[2]))
+    _, mean, variance = _pooled(parts)
+    wide = spread * max(math.sqrt(variance), mean / 50) * math.sqrt(1 + weight / support)
+    return mean - wide, mean + wide
 
 
 def judge(docs: DataFrame, bands: Bands | None = None) -> DataFrame:
