@@ -197,6 +197,25 @@ def test_signatures_estimate_similarity():
     assert abs(same - 800 / 1200) < 0.05
 
 
+def test_a_band_has_no_permutation_twice_and_short_pairs_meet():
+    bands, rows = minmax_dedup.BANDS, minmax_dedup.ROWS
+    half = bands * rows // 2
+    sig = np.zeros(2 * half, np.uint64)
+    plain = minmax_dedup.band_keys(sig, bands, rows)
+    for j in range(half):
+        touched = []
+        for at in (j, half + j):
+            changed = sig.copy()
+            changed[at] = 1
+            touched.append(set(np.flatnonzero(minmax_dedup.band_keys(changed, bands, rows) != plain)))
+        assert all(len(x) == 1 for x in touched) and not touched[0] & touched[1]
+    rng = np.random.default_rng(11)
+    keys = lambda s: minmax_dedup.band_keys(minmax_dedup.signature(s, half), bands, rows)
+    for _ in range(12_000):
+        union = rng.integers(0, 2**63, 5, dtype=np.uint64)
+        assert (keys(union) == keys(union[:4])).any()
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)]
