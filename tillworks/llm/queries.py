@@ -4,10 +4,12 @@ import uuid
 from collections.abc import Callable
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillworks.llm import harmonic_packing, line_runs, minmax_dedup, ngram_difference, pii_crf, prefix_bpe, quality_bands, robust_graph, simple8b, token_counts
+from tillworks.llm import harmonic_packing, line_runs, minmax_dedup, ngram_difference, periodic_runs, pii_crf, prefix_bpe, quality_bands, robust_graph, run_sql, simple8b, token_counts
 
 from tillworks.session import shared_dir
 
@@ -79,15 +81,55 @@ def op10_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_bands.judge(docs, bands)
 
 
+def _repeated(text: str | None, h: int) -> str | None:
+    """The text; or, where the last digit of h is 0, its words with a stretch of them repeated to the end.
+
+    From word a on, word i becomes word a + (i - a) % p.
+    """
+    words = (text or "").encode().split() if h % 10 == 0 else []
+    if not words:
+        return text
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    stretch = words[a : a + p]
+    return b" ".join(words[:a] + (stretch * ((n - a) // p + 1))[: n - a]).decode()
+
+
+@F.arrow_udf(T.StringType())
+def _with_repeats(texts: pa.Array, hashes: pa.Array) -> pa.Array:
+    # A row without an id has no hash, and keeps its text.
+    return pa.array([_repeated(x.as_py(), 1 if h.as_py() is None else h.as_py()) for x, h in zip(texts, hashes)], pa.string())
+
+
+def op11_run_catchers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", _with_repeats("text", h).alias("text"))
+    found = periodic_runs.find_runs(docs)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    sha = lambda text: F.sha2(text.cast("binary"), 256)
+    longest = periodic_runs.longest("runs")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[longest[c].alias(c) for c in ("start", "length", "period")],
+        F.floor(1000 * longest["length"] / longest["period"]).cast("long").alias("exponent_milli"),
+        sha(F.array_join(lines, "")).alias("runs_sha256"),
+        sha(F.col("collapsed")).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_prefix_bpe, op2_robust_graph, op3_token_counts, op4_pii_crf, op5_ngram_difference, op6_harmonic_packing, op7_simple8b, op8_line_runs, op9_minmax_dedup, op10_compression_bands)
+    f.__name__: f for f in (op1_prefix_bpe, op2_robust_graph, op3_token_counts, op4_pii_crf, op5_ngram_difference, op6_harmonic_packing, op7_simple8b, op8_line_runs, op9_minmax_dedup, op10_compression_bands, op11_run_catchers)
 }
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-#: SQL counterparts by query. Near duplicates are the one result that a method finds in full and SQL
-#: can express; the others need a library, a model or a graph search.
+#: SQL counterparts by query, where SQL can express the result; the others need a library, a model or
+#: a graph search.
 ORACLE_SQL: dict[str, str] = {
+    "op11_run_catchers": run_sql.RUNS,
     "op9_minmax_dedup": f"""WITH RECURSIVE words AS (
         SELECT doc_id, regexp_extract_all(
             translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\\x20\\x09-\\x0D]+') AS w
