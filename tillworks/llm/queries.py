@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillworks.llm import harmonic_packing, line_runs, minmax_dedup, ngram_difference, periodic_runs, pii_crf, prefix_bpe, quality_bands, robust_graph, run_sql, simple8b, token_counts
+from tillworks.llm import conversation_trie, harmonic_packing, line_runs, minmax_dedup, ngram_difference, periodic_runs, pii_crf, prefix_bpe, quality_bands, robust_graph, run_sql, simple8b, token_counts, trie_sql
 
-from tillworks.session import shared_dir
+from tillworks.session import saved, shared_dir
 
 BPE_JSON = "byte_bpe_50k.json"
 TOKEN_LIMIT = 1024
@@ -120,8 +120,16 @@ def op11_run_catchers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = saved(conversation_trie.numbered_turns(_table(spark, sf_dir, "conversations")))
+    c = F.col("conv_id")
+    shared = F.crc32(c.cast("string").cast("binary")) % 9
+    conversations, rebuilt = conversation_trie.forked(turns, base=c - c % 5, reach=4, shared=shared, most=8)
+    return conversation_trie.trie(conversations, rebuilt)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_prefix_bpe, op2_robust_graph, op3_token_counts, op4_pii_crf, op5_ngram_difference, op6_harmonic_packing, op7_simple8b, op8_line_runs, op9_minmax_dedup, op10_compression_bands, op11_run_catchers)
+    f.__name__: f for f in (op1_prefix_bpe, op2_robust_graph, op3_token_counts, op4_pii_crf, op5_ngram_difference, op6_harmonic_packing, op7_simple8b, op8_line_runs, op9_minmax_dedup, op10_compression_bands, op11_run_catchers, op12_conversation_trie)
 }
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -130,6 +138,7 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: a graph search.
 ORACLE_SQL: dict[str, str] = {
     "op11_run_catchers": run_sql.RUNS,
+    "op12_conversation_trie": trie_sql.TRIE,
     "op9_minmax_dedup": f"""WITH RECURSIVE words AS (
         SELECT doc_id, regexp_extract_all(
             translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\\x20\\x09-\\x0D]+') AS w
