@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillworks.llm import conversation_trie, harmonic_packing, line_runs, minmax_dedup, ngram_difference, periodic_runs, pii_crf, prefix_bpe, quality_bands, robust_graph, run_sql, simple8b, token_counts, trie_sql
+from tillworks.llm import conversation_trie, harmonic_packing, line_runs, minmax_dedup, ngram_difference, periodic_runs, pii_crf, prefix_bpe, quality_bands, robust_graph, run_sql, simple8b, subword_bags, token_counts, trie_sql
 
 from tillworks.session import saved, shared_dir
 
@@ -128,8 +128,16 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.trie(conversations, rebuilt)
 
 
+def op13_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = subword_bags.fit(docs, labels.filter(~held_out))
+    scored = subword_bags.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_prefix_bpe, op2_robust_graph, op3_token_counts, op4_pii_crf, op5_ngram_difference, op6_harmonic_packing, op7_simple8b, op8_line_runs, op9_minmax_dedup, op10_compression_bands, op11_run_catchers, op12_conversation_trie)
+    f.__name__: f for f in (op1_prefix_bpe, op2_robust_graph, op3_token_counts, op4_pii_crf, op5_ngram_difference, op6_harmonic_packing, op7_simple8b, op8_line_runs, op9_minmax_dedup, op10_compression_bands, op11_run_catchers, op12_conversation_trie, op13_subword_toxicity)
 }
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
