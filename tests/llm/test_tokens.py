@@ -204,3 +204,11 @@ def test_queries_over_the_smallest_tables(spark):
     for i in sorted(ids):
         assert got[i] == (at, len(ids[i]) + 1, crc([*ids[i], 0]))
         at += len(ids[i]) + 1
+
+
+@pytest.mark.parametrize("text", ["one two  three\n four's 5 x" * 40, "a" * 500, "a " * 250, " " * 300 + "b" * 300, "é 漢字 x  y" * 40])
+def test_texts_are_split_at_any_length(monkeypatch, text):
+    monkeypatch.setattr(library_ids, "_AT_ONCE", 7)
+    assert "".join(library_ids.stretches(text)) == text
+    assert np.frombuffer(library_ids.library_encoder(JSON).encode(text), "<u4").tolist() == library(text)
+    assert np.frombuffer(VOCABULARY.encode(text), "<u4").tolist() == TIKTOKEN.encode_ordinary(text)

@@ -1,10 +1,11 @@
 """Token ids of whole texts as the tokenizers library gives them, with work shared between words.
 
-The library spends most of its time on words it has seen before. A text is therefore cut before
-every single space that a visible character follows: a byte-level tokenizer always starts a new
-piece there, and neither side depends on the other. Each distinct part is encoded by the library
-once and remembered in a bounded memo, so ids are the library's own while repeated words cost one
-dictionary lookup.
+The library spends most of its time on words it has seen before. A text of plain characters is
+therefore split into pre-tokens by one pattern, each distinct pre-token is encoded by the library once and
+remembered in a bounded memo, so ids are the library's own while repeated ones cost one dictionary lookup.
+Any other text is cut before every single space that a visible character follows: a byte-level
+tokenizer always starts a new piece there, and neither side depends on the other. Its parts are
+split by the library, and remembered too.
 """
 
 import functools
@@ -24,9 +25,11 @@ _PLAIN = re.compile(f"[\\t\\n\\r -~{_LETTER}]*")
 _PIECES = re.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[0-9]+| ?[^\t\n\r 0-9{_LETTER}]+|[\t\n\r ]+(?![^\t\n\r ])|[\t\n\r ]+"
 )
-#: Distinct parts and pieces remembered in each of two generations, and the longest one kept.
-MEMO_ENTRIES = 350_000
+#: Distinct pieces remembered in each of two generations, and the longest one kept.
+MEMO_ENTRIES = 250_000
 MEMO_LENGTH = 48
+#: Characters that are split at a time.
+_AT_ONCE = 1 << 20
 
 
 def _byte_letters() -> dict[int, str]:
@@ -64,6 +67,21 @@ def words(text: str) -> list[str]:
     return _CUT.split(text) if _ODD.search(text) else text.split(" ")
 
 
+def stretches(text: str):
+    """The text in stretches of bounded length, cut before a single space that a visible character follows."""
+    at = 0
+    while len(text) - at > _AT_ONCE:
+        cut = _CUT.search(text, at + _AT_ONCE)
+        # A second space before the cut would belong to the same run of them.
+        while cut and text[cut.start() - 1].isspace():
+            cut = _CUT.search(text, cut.end())
+        if cut is None:
+            break
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:]
+
+
 class LibraryEncoder:
     """Encodes with one tokenizer file; ids come as little-endian unsigned 32-bit integers."""
 
@@ -84,9 +102,8 @@ class LibraryEncoder:
             and self._pre.use_regex
             and not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values())
         )
-        self._piece = Memo(self._encode_piece, entries=entries // 2)
-        self._first = Memo(self._encode_part, entries=20_000)
-        self._later = Memo(lambda word: self._encode_part(" " + word), entries=entries)
+        self._piece = Memo(self._encode_piece, entries=entries)
+        self._later = Memo(lambda word: self._encode_part(" " + word), entries=entries // 5)
 
     def _encode_piece(self, piece: str) -> bytes:
         letters = piece.encode().decode("latin-1").translate(_LETTERS)
@@ -102,8 +119,10 @@ class LibraryEncoder:
         return b"".join([self._piece[p] for p in self.pieces(part)])
 
     def _encode_plain(self, text: str) -> bytes:
+        if _PLAIN.fullmatch(text):
+            return b"".join([b"".join(map(self._piece.__getitem__, _PIECES.findall(x))) for x in stretches(text)])
         parts = words(text)
-        return self._first[parts[0]] + b"".join(map(self._later.__getitem__, parts[1:]))
+        return self._encode_part(parts[0]) + b"".join(map(self._later.__getitem__, parts[1:]))
 
     def encode(self, text: str) -> bytes:
         """All ids of a text, without special tokens of the library's own adding."""
@@ -137,5 +156,5 @@ class LibraryEncoder:
 
 @functools.lru_cache(maxsize=1)
 def library_encoder(path: str, entries: int = MEMO_ENTRIES) -> LibraryEncoder:
-    """One encoder in each Python worker, kept from task to task; it remembers 2 * entries parts at most."""
+    """One encoder in each Python worker, kept from task to task; it remembers 2 * entries pieces at most."""
     return LibraryEncoder(path, entries)

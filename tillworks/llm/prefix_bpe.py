@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillworks.llm.library_ids import Memo, words
+from tillworks.llm.library_ids import Memo, stretches
 
 _NEVER = 1 << 62
 
@@ -55,9 +55,7 @@ class Vocabulary:
         self._ending.make_automaton()
         self._parts: dict[int, tuple[int, int] | None] = {}
         self._valid: dict[int, bool] = {}
-        self._piece = Memo(self._encode_piece, entries=100_000)
-        self._first = Memo(self._encode_part, entries=20_000)
-        self._later = Memo(lambda word: self._encode_part(" " + word))
+        self._piece = Memo(self._encode_piece)
 
     def parts(self, token: int) -> tuple[int, int] | None:
         """The two tokens that a token is merged from; None for a single byte or one that no merge makes."""
@@ -105,15 +103,9 @@ class Vocabulary:
     def _encode_piece(self, piece: str) -> bytes:
         return np.array(PrefixTable(self, piece.encode()).ids(), "<u4").tobytes()
 
-    def _encode_part(self, part: str) -> bytes:
-        return b"".join([self._piece[p] for p in self.pattern.findall(part)])
-
     def encode(self, text: str) -> bytes:
         """All ids of a text as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        first, *later = words(text)
-        return self._first[first] + b"".join(map(self._later.__getitem__, later))
+        return b"".join([b"".join(map(self._piece.__getitem__, self.pattern.findall(x))) for x in stretches(text)])
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
@@ -132,12 +124,18 @@ class PrefixTable:
         # Tokens that end in the new bytes may begin in the old ones.
         self.piece += more
         reach = max(0, known - v.longest)
+        valid, may_follow = v._valid, v.may_follow
         for end, (token, n) in v._ending.iter(self.piece[reach:].decode("latin-1")):
             end += reach
             if end < len(last):
                 continue
             before = end - n
-            if before < 0 and v.made(token) or before >= 0 and v.may_follow(last[before], token):
+            if before < 0:
+                if v.made(token):
+                    last.append(token)
+                continue
+            follows = valid.get(last[before] << 32 | token)
+            if may_follow(last[before], token) if follows is None else follows:
                 last.append(token)
 
     def replace(self, start: int, stop: int, new: bytes) -> None:
