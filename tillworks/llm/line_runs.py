@@ -16,6 +16,7 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,21 +47,24 @@ def line_ids(text: Column, least: int) -> Column:
     def ids(texts: pa.Array) -> pa.Array:
         import xxhash
 
-        rows = []
+        per_text, known, digests, numbers = [0], [], [], []
         for t in texts:
-            if not t.is_valid:
-                rows.append(None)
-                continue
-            lines = t.as_py().encode().split(b"\n")
-            words = np.fromiter((len(x.split()) for x in lines), np.int64, len(lines))
-            at = np.flatnonzero(words)
-            ahead, behind = stretches(words[at], least)
-            out = []
-            for i, a, b in zip(at.tolist(), ahead.tolist(), behind.tolist()):
-                h = np.frombuffer(xxhash.xxh3_128_digest(lines[i]), np.int64)
-                out.append({"h1": int(h[0]), "h2": int(h[1]), "line": i, "ahead": a, "behind": b})
-            rows.append(out)
-        return pa.array(rows, _ARROW_LINE)
+            known.append(t.is_valid)
+            if t.is_valid:
+                lines = t.as_py().encode().split(b"\n")
+                words = np.fromiter((len(x.split()) for x in lines), np.int64, len(lines))
+                at = np.flatnonzero(words)
+                digests.append(b"".join([xxhash.xxh3_128_digest(lines[i]) for i in at.tolist()]))
+                numbers.append(np.stack([at, *stretches(words[at], least)]).astype(np.int32))
+                per_text.append(per_text[-1] + len(at))
+            else:
+                per_text.append(per_text[-1])
+        ids = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+        rest = np.concatenate([np.empty((3, 0), np.int32), *numbers], axis=1)
+        fields = [*ids.T, *rest]
+        items = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(x)) for x in fields], fields=list(_ARROW_LINE.value_type))
+        lists = pa.ListArray.from_arrays(pa.array(per_text, pa.int32()), items, type=_ARROW_LINE)
+        return lists if all(known) else pc.if_else(pa.array(known), lists, pa.scalar(None, _ARROW_LINE))
 
     return ids(text)
 
