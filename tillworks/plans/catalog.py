@@ -47,14 +47,19 @@ def _run_metrics(m: Mart) -> DataFrame:
     return checks.run_metrics(m.batches[1], target)
 
 
-def _after_two_runs(table: str, repeated: bool = False) -> Callable[[Mart], DataFrame]:
+def _after_two_runs(table: str, after: str = "merged") -> Callable[[Mart], DataFrame]:
     def read(m: Mart) -> DataFrame:
-        warehouse, merged, again = m.two_runs
-        return getattr(warehouse, table)(again if repeated else merged).drop("sales_month")
+        warehouse, states = m.two_runs
+        return getattr(warehouse, table)(states[after]).drop("sales_month")
 
     return read
 
 
+def _audit_counts(m: Mart) -> DataFrame:
+    warehouse, _ = m.two_runs
+    return warehouse.table("etl_audit").select("audit_id", "status", "rows_processed")
+
+
 def _through_view(view: str) -> Callable[[Mart], DataFrame]:
     def read(m: Mart) -> DataFrame:
         register_views(m.spark, m.warehouse)
@@ -99,9 +104,12 @@ _QUERIES: dict[str, Callable[[Mart], DataFrame]] = {
     "upsert_transactions": _upsert_transactions,
     "run_etl": lambda m: m.facts.drop("sales_month"),
     "run_etl_two_batches": _after_two_runs("transactions"),
-    "run_etl_repeated": _after_two_runs("transactions", repeated=True),
+    "run_etl_repeated": _after_two_runs("transactions", "repeated"),
+    "run_etl_compacted": _after_two_runs("transactions", "compacted"),
     "run_etl_stores": _after_two_runs("stores"),
     "run_etl_payment_methods": _after_two_runs("payment_methods"),
+    "daily_summary_table": _after_two_runs("daily_summary", "summarized"),
+    "etl_audit_counts": _audit_counts,
     # key figures
     "store_count": lambda m: kpi.store_count(m.stores),
     "city_count": lambda m: kpi.city_count(m.stores),

@@ -9,15 +9,11 @@ from pyspark.sql import functions as F
 
 from tillworks.functions import text_key
 from tillworks.functions.calendar import MONTH_COLUMN
+from tillworks.operators.bloom import bloom_of, maybe_in
 from tillworks.operators.checks import error_samples, fk_orphans, pk_violations, quarantine
-from tillworks.operators.merge import (
-    merge_source,
-    not_in,
-    upsert_payment_methods,
-    upsert_stores,
-)
+from tillworks.operators.merge import merge_source, upsert_payment_methods, upsert_stores
 from tillworks.schema import TRANSACTION_COLUMNS
-from tillworks.sources.warehouse import State, Warehouse, months_in
+from tillworks.sources.warehouse import Warehouse
 
 JOB = "run_etl"
 
@@ -50,8 +46,7 @@ def run_etl(warehouse: Warehouse, raw: DataFrame) -> RunResult:
 
 
 def _merge(warehouse: Warehouse, raw: DataFrame) -> RunResult:
-    state = warehouse.state()
-    run = state.run + 1
+    state, run = warehouse.state(), warehouse.new_run()
 
     # The facts look up ids created here, so the dimensions are written first. Reading them back
     # also gives the planner their true size.
@@ -65,55 +60,44 @@ def _merge(warehouse: Warehouse, raw: DataFrame) -> RunResult:
     warehouse.write_months(merge_source(raw, stores, payment_methods), run)
     source = warehouse.written(run)
     check_keys(source, stores, payment_methods)
-    # Counted on the written rows: an accumulator would count a retried task twice.
-    # One row for each month.
-    by_month = {r[MONTH_COLUMN]: r["count"] for r in source.groupBy(MONTH_COLUMN).count().collect()}
-    rows, months = sum(by_month.values()), set(by_month)
-
-    rewritten = _months_to_rewrite(warehouse, state, source)
-    if rewritten:
-        # The source is read from a fixed list of files, so appending next to them is safe.
-        old = warehouse.transactions(state, rewritten).select(*TRANSACTION_COLUMNS)
-        warehouse.write_months(not_in(old, source), run, mode="append")
-        months |= rewritten
-
-    runs = {m: r for m, r in state.month_runs.items() if m not in rewritten}
-    for month in months_in(warehouse.written(run)):
-        runs[month] = [*runs.get(month, []), run]
-    warehouse.publish(replace(new_state, month_runs=runs))
+    written = warehouse.parts_written(run)
+    rows, months = sum(p.rows for p in written), {p.sales_month for p in written}
+
+    if state.parts and rows:
+        new_state = warehouse.replace_rows(new_state, replaced(warehouse.located(state), source, rows), run)
+        months |= {p.sales_month for p in state.parts} - {p.sales_month for p in new_state.parts}
+        months |= {p.sales_month for p in new_state.parts if p.kind == "replaced" and p.run == run}
+    warehouse.publish(replace(new_state, parts=(*new_state.parts, *written)))
     return RunResult(run, rows, frozenset(months))
 
 
-def _months_to_rewrite(warehouse: Warehouse, state: State, source: DataFrame) -> set[str]:
-    """Months whose stored rows this run replaces in part.
+def replaced(stored: DataFrame, source: DataFrame, count: int) -> DataFrame:
+    """Which stored rows the `count` rows of a batch replace: id (as text_key), of_run and sales_month.
 
-    A known transaction may have moved to another month, so ids are looked up in all months. Only
-    64-bit hashes of the ids are shuffled: two ids with one hash cost a needless rewrite of a
-    month, in which the rows to replace are then found by the ids themselves.
+    A known transaction may have moved to another month, so ids are looked up in all months. The
+    stored ids are only read: those that the Bloom filter of the batch's ids rules out, nearly all of them,
+    are dropped where they lie. The rest are joined to the batch by the ids themselves.
     """
-    if not state.month_runs:
-        return set()
-    known = warehouse.transactions(state)
-    hashed = known.select(F.xxhash64(text_key("transaction_id")).alias("_hash"), MONTH_COLUMN)
-    new = source.select(F.xxhash64(text_key("transaction_id")).alias("_hash"))
-    return months_in(hashed.join(new, "_hash", "left_semi"))
+    new = source.select(text_key("transaction_id").alias("id"))
+    known = stored.select(text_key("transaction_id").alias("id"), F.col("run").alias("of_run"), MONTH_COLUMN)
+    return maybe_in(known, F.col("id"), bloom_of(new, F.col("id"), count)).join(new, "id", "left_semi")
 
 
 def compact(warehouse: Warehouse, months: set[str]) -> int | None:
     """Write the given months anew, each into one run's directory, and publish; rows stay the same.
 
-    The daily job never does this by itself: a month that is only added to gains a directory a run,
-    and when to pay for joining them is the caller's choice. Months that hold no rows are left out;
-    None if nothing is left.
+    Rows that were replaced are left behind. The daily job never does this by itself: a month that is
+    added to gains a directory a run, and when to pay for joining them is the caller's choice. Months that
+    hold no rows are left out; None if nothing is left.
     """
     state = warehouse.state()
     months = months & set(state.month_runs)
     if not months:
         return None
-    run = state.run + 1
+    run = warehouse.new_run()
     warehouse.write_months(warehouse.transactions(state, months).select(*TRANSACTION_COLUMNS), run)
-    runs = state.month_runs | {month: [run] for month in months}
-    warehouse.publish(replace(state, run=run, month_runs=runs))
+    others = [p for p in state.parts if p.sales_month not in months]
+    warehouse.publish(replace(state, run=run, parts=(*others, *warehouse.parts_written(run))))
     return run
 
 

@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from tillworks.operators.dedup import dedup_transactions
 from tillworks.operators.merge import upsert_payment_methods, upsert_stores
-from tillworks.plans.etl import RunResult, run_etl
+from tillworks.plans.etl import RunResult, compact, run_etl
 from tillworks.plans.initial_load import (
     payment_methods_initial,
     stores_initial,
     transactions_initial,
 )
+from tillworks.plans.summary import load_daily_summary
 from tillworks.schema import RAW_COLUMNS
 from tillworks.session import shared_dir
 from tillworks.sources.deliveries import deliveries
@@ -90,18 +91,26 @@ class Mart:
         return stores, methods, self._saved("first_transactions", loaded)
 
     @cached_property
-    def two_runs(self) -> tuple[Warehouse, State, State]:
+    def two_runs(self) -> tuple[Warehouse, dict[str, State]]:
         """A warehouse that the daily job has filled from the two batches, the second one twice.
 
-        With it come its states after the second run and after the repeat.
+        The summary table is refreshed after each of the first two runs, and all months are compacted at
+        the end. With the warehouse come its states after each of these steps.
         """
         warehouse = Warehouse(self.spark, f"{self.folder}/two_runs", recreate=True)
         first, second = (self._saved(f"batch{i}", b) for i, b in enumerate(self.batches, 1))
+        states = {}
         run_etl(warehouse, first)
+        load_daily_summary(warehouse)
+        result = run_etl(warehouse, second)
+        states["merged"] = warehouse.state()
+        load_daily_summary(warehouse, set(result.months))
+        states["summarized"] = warehouse.state()
         run_etl(warehouse, second)
-        merged = warehouse.state()
-        run_etl(warehouse, second)
-        return warehouse, merged, warehouse.state()
+        states["repeated"] = warehouse.state()
+        compact(warehouse, set(warehouse.state().month_runs))
+        states["compacted"] = warehouse.state()
+        return warehouse, states
 
     @cached_property
     def merged_dimensions(self) -> tuple[DataFrame, DataFrame]:

@@ -162,14 +162,25 @@ def _nulls(column: str, name: str) -> str:
     return f"CAST(sum(CASE WHEN {column} IS NULL THEN 1 END) AS BIGINT) AS {name}"
 
 
-def _top(column: str) -> str:
+def _top(column: str, by_store: str = _BY_STORE) -> str:
     return f"""SELECT day, {column} FROM (
         SELECT {_DAY} AS day, {column},
             row_number() OVER (PARTITION BY {_DAY} ORDER BY count(*) DESC, {column} NULLS FIRST) AS rn
-        {_BY_STORE} GROUP BY 1, 2) x
+        {by_store} GROUP BY 1, 2) x
     WHERE rn = 1"""
 
 
+def _daily(fact: str, stores: str) -> str:
+    by_store = f"FROM {fact} JOIN {stores} USING (store_id)"
+    return f"""SELECT d.*, c.city AS top_city, s.store_name AS top_store FROM (
+            SELECT {_DAY} AS report_date, count(*) AS total_transactions, {_MONEY} AS total_revenue,
+                {_YES} AS transactions_with_discount, {_NO} AS transactions_without_discount,
+                {_POINTS} AS total_loyalty_points
+            FROM {fact} GROUP BY 1) d
+        LEFT JOIN ({_top("city", by_store)}) c ON c.day = d.report_date
+        LEFT JOIN ({_top("store_name", by_store)}) s ON s.day = d.report_date"""
+
+
 def _cashiers(comparison: str) -> str:
     return f"""SELECT upper(trim(cashier_id)) AS cashier_id, '{MONTH}' AS "SalesMonth",
         {_ITEMS} AS "TotalItems", {_MONEY} AS "TotalSales"
@@ -298,13 +309,7 @@ _SELECTS = {
     "monthly_revenue_for_year": f"""SELECT CAST(month(transaction_date) AS INT) AS "MonthNumber",
             {_MONEY} AS "TotalRevenue" FROM fact WHERE year(transaction_date) = {YEAR} GROUP BY 1""",
     "daily_revenue": f"SELECT {_DAY} AS report_date, {_MONEY} AS daily_revenue FROM fact GROUP BY 1",
-    "daily_summary": f"""SELECT d.*, c.city AS top_city, s.store_name AS top_store FROM (
-            SELECT {_DAY} AS report_date, count(*) AS total_transactions, {_MONEY} AS total_revenue,
-                {_YES} AS transactions_with_discount, {_NO} AS transactions_without_discount,
-                {_POINTS} AS total_loyalty_points
-            FROM fact GROUP BY 1) d
-        LEFT JOIN ({_top("city")}) c ON c.day = d.report_date
-        LEFT JOIN ({_top("store_name")}) s ON s.day = d.report_date""",
+    "daily_summary": _daily("fact", "stores"),
     "daily_summary_basic": f"""SELECT {_DAY} AS report_date, count(*) AS total_transactions,
             {_MONEY} AS total_revenue FROM fact GROUP BY 1""",
     "pk_violations": f"""SELECT upper(rtrim(transaction_id)) AS transaction_id, count(*) AS row_count
@@ -321,8 +326,19 @@ _SELECTS = {
 _TWO_RUN_SELECTS = {
     "run_etl_two_batches": f"SELECT {_FACT} FROM fact2",
     "run_etl_repeated": f"SELECT {_FACT} FROM fact2",
+    "run_etl_compacted": f"SELECT {_FACT} FROM fact2",
     "run_etl_stores": "SELECT store_id, store_name, city FROM stores2",
     "run_etl_payment_methods": "SELECT payment_id, payment_method FROM pay2",
+    # Days of the first run are numbered first; a day keeps its number.
+    "daily_summary_table": f"""SELECT CAST(coalesce(o.id, n.first_id + row_number() OVER (
+                PARTITION BY o.id IS NULL ORDER BY d.report_date NULLS FIRST)) AS INT) AS summary_id, d.*
+        FROM ({_daily("fact2", "stores2")}) d
+        LEFT JOIN (SELECT day, row_number() OVER (ORDER BY day NULLS FIRST) AS id
+                   FROM (SELECT DISTINCT {_DAY} AS day FROM fact1) x) o ON o.day IS NOT DISTINCT FROM d.report_date
+        CROSS JOIN (SELECT count(DISTINCT {_DAY}) + max(CASE WHEN {_DAY} IS NULL THEN 1 ELSE 0 END) AS first_id FROM fact1) n""",
+    "etl_audit_counts": """SELECT CAST(1 AS INT) AS audit_id, 'SUCCESS' AS status, (SELECT count(*) FROM source1) AS rows_processed
+        UNION ALL SELECT 2, 'SUCCESS', (SELECT count(*) FROM source2)
+        UNION ALL SELECT 3, 'SUCCESS', (SELECT count(*) FROM source2)""",
 }
 
 _MERGE_SELECTS = {

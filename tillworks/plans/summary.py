@@ -88,8 +88,7 @@ def load_daily_summary(
     RunResult so that only the facts they cover are read. `basic` fills only the date, the count
     and the revenue.
     """
-    state = warehouse.state()
-    run = state.run + 1
+    state, run = warehouse.state(), warehouse.new_run()
     facts = warehouse.transactions(state, months)
     if basic:
         fresh = daily_summary_basic(facts)

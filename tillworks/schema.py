@@ -89,15 +89,29 @@ ETL_AUDIT = T.StructType(
     ]
 )
 
-# One row per committed run: which run directories hold each table, and each month of the facts.
+# One row per version: which run directories hold the dimensions, and which manifest the facts.
 PUBLISHED = T.StructType(
     [
+        T.StructField("version", T.IntegerType()),
         T.StructField("run", T.IntegerType()),
         T.StructField("published_at", T.TimestampNTZType()),
         T.StructField("stores_run", T.IntegerType()),
         T.StructField("payment_methods_run", T.IntegerType()),
         T.StructField("daily_summary_run", T.IntegerType()),
-        T.StructField("month_runs", T.MapType(T.StringType(), T.ArrayType(T.IntegerType()))),
+        T.StructField("manifest", T.StringType()),
+    ]
+)
+
+# One row per run and month of a version's facts, and of the ids that its runs replace.
+MANIFEST = T.StructType(
+    [
+        T.StructField("kind", T.StringType()),
+        T.StructField("sales_month", T.StringType()),
+        T.StructField("run", T.IntegerType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("dead", T.LongType()),
+        T.StructField("first_date", T.TimestampNTZType()),
+        T.StructField("last_date", T.TimestampNTZType()),
     ]
 )
 

@@ -5,8 +5,6 @@ run reads that day's files however many the folder holds. With trigger available
 it has caught up, like any batch job. The merge itself is run_etl.
 """
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,7 +54,7 @@ def merge_new_files(
 ) -> RunResult | None:
     """Stage what is new in the landing folder and merge all loads that no run has merged yet.
 
-    A load is what one call has staged, numbered by the time in milliseconds. Loads are merged one
+    A load is what one call has staged, numbered after all earlier ones. Loads are merged one
     by one in that order, each by a run of its own, so the latest delivery of a transaction wins
     whether or not an earlier call has failed. A load is noted as merged after its run is published;
     should the note be lost, the next call merges the load once more before any later one, which
@@ -66,7 +64,9 @@ def merge_new_files(
     noted = T.StructType([T.StructField("load", T.LongType())])
     spark.range(0).select(F.col("id").alias("load")).write.mode("ignore").parquet(notes)
     merged = spark.read.schema(noted).parquet(notes).agg(F.coalesce(F.max("load"), F.lit(0))).first()[0]
-    stage_new_files(spark, landing, staging, time.time_ns() // 1_000_000, timestamp_pattern, multi_line)
+    # By the folders, not by a clock, which may go back.
+    staged = [int(name.removeprefix("load=")) for name in warehouse.names_in("staging") if name.startswith("load=")]
+    stage_new_files(spark, landing, staging, max([merged, *staged]) + 1, timestamp_pattern, multi_line)
     good, _ = staged_since(spark, staging, merged)
     # One row for each call that has staged rows since the last merge.
     pending = sorted(r["load"] for r in good.select("load").distinct().collect())
