@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillworks.llm.library_ids import MEMO_ENTRIES, library_encoder
+from tillworks.llm.memory import give_back
 from tillworks.session import saved
 
 CAPACITY = 2048
@@ -38,7 +39,7 @@ def cut_lengths(n: int, capacity: int = CAPACITY, least: int = LEAST) -> list[in
 
 def cut_pieces(
     docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY, least: int = LEAST, keep_ids: bool = False,
-    memo_entries: int = MEMO_ENTRIES,
+    memo_entries: int = MEMO_ENTRIES, keep_encoder: bool = True,
 ) -> DataFrame:
     """Pieces of every document: doc_id, start, length, ids_crc32, doc_tokens and the worker that cut them.
 
@@ -71,6 +72,10 @@ def cut_pieces(
             columns += [pa.array(x, pa.int64()) for x in (start, length, crc, total)]
             columns += [pa.array(ids, pa.list_(pa.int32()))] * keep_ids
             yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
+        if not keep_encoder:
+            del encoder
+            library_encoder.cache_clear()
+            give_back()
 
     return docs.select("doc_id", "text").mapInArrow(cut, T.StructType(fields)).withColumn("worker", F.spark_partition_id())
 
@@ -108,14 +113,15 @@ def pack(pieces: DataFrame, order: list[Column], capacity: int = CAPACITY, least
 
 def pack_documents(
     docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY, least: int = LEAST, keep_ids: bool = False,
-    memo_entries: int = MEMO_ENTRIES,
+    memo_entries: int = MEMO_ENTRIES, keep_encoder: bool = True,
 ) -> DataFrame:
     """Every document's pieces with their sequence and place in it.
 
     The pieces are written once: a worker is the task that wrote them, so a recomputed task can't
-    deal them anew. An empty table has no pieces. memo_entries trades a worker's memory for time.
+    deal them anew. An empty table has no pieces. memo_entries trades a worker's memory for time;
+    without keep_encoder a worker forgets tokenizer and memo at the end of a task.
     """
-    pieces = saved(cut_pieces(docs, path, end_id, capacity, least, keep_ids, memo_entries))
+    pieces = saved(cut_pieces(docs, path, end_id, capacity, least, keep_ids, memo_entries, keep_encoder))
     order = [F.col(c) for c in ("doc_id", "start", "length", "doc_tokens", "ids_crc32")]
     return pack(pieces, order, capacity, least)
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillworks.llm.columns import fresh
+from tillworks.llm.memory import give_back
 from tillworks.operators.ordering import sum_before
 from tillworks.session import saved
 
@@ -64,6 +65,7 @@ def line_ids(text: Column, least: int) -> Column:
         fields = [*ids.T, *rest]
         items = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(x)) for x in fields], fields=list(_ARROW_LINE.value_type))
         lists = pa.ListArray.from_arrays(pa.array(per_text, pa.int32()), items, type=_ARROW_LINE)
+        give_back()
         return lists if all(known) else pc.if_else(pa.array(known), lists, pa.scalar(None, _ARROW_LINE))
 
     return ids(text)

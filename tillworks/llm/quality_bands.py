@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillworks.llm.columns import fresh
+from tillworks.llm.memory import give_back
 
 FEATURES = T.StructType(
     [T.StructField(n, T.LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_bytes")]
@@ -91,8 +92,18 @@ def features(text: Column, chunk_bytes: int = 4096, level: int = 3) -> Column:
         import zstandard
 
         compress = zstandard.ZstdCompressor(level=level).compress
-        rows = [_features(x.as_py() or "", compress, chunk_bytes) for x in texts]
-        return pa.array(rows, T_ARROW)
+        names = [f.name for f in T_ARROW][:-1]
+        columns, ratios, ends = {n: [] for n in names}, [], [0]
+        for x in texts:
+            found = _features(x.as_py() or "", compress, chunk_bytes)
+            for n in names:
+                columns[n].append(found[n])
+            ratios += found["chunk_ratios"]
+            ends.append(len(ratios))
+        chunks = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ratios, pa.float64()))
+        arrays = [pa.array(columns[n], T_ARROW.field(n).type) for n in names]
+        give_back()
+        return pa.StructArray.from_arrays([*arrays, chunks], [*names, "chunk_ratios"])
 
     return measure(text)
 
