@@ -42,7 +42,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens; other stages share the workers, so the memo is small."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return harmonic_packing.pack_documents(docs, path, end_id=1, memo_entries=60_000)
+    return harmonic_packing.pack_documents(docs, path, end_id=1, memo_entries=60_000, keep_encoder=False)
 
 
 def _measured(changed: DataFrame, docs: DataFrame) -> DataFrame:
