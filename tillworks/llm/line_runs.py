@@ -140,7 +140,10 @@ def without_lines(text: Column, lines: Column) -> Column:
                 gone = set(p.as_py())
                 t = "\n".join(itertools.compress(parts := t.split("\n"), [i not in gone for i in range(len(parts))]))
             out.append(t)
-        return pa.array(out, pa.string())
+        left = pa.array(out, pa.string())
+        del out
+        give_back()
+        return left
 
     return cut(text, lines)
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tillworks.llm.columns import fresh
 from tillworks.llm.components import components
+from tillworks.llm.memory import give_back
 from tillworks.session import saved
 
 #: 144 hash evaluations give 288 values; a pair at similarity 0.8 should miss all buckets once in
@@ -99,7 +100,10 @@ def set_digest(text: Column, size: int) -> Column:
     @F.arrow_udf("binary")
     def digest(texts: pa.Array) -> pa.Array:
         hashes = _WordHash()
-        return pa.array([_digest(shingle_hashes(shingle_words(t.as_py() or ""), size, hashes)) for t in texts], pa.binary())
+        found = pa.array([_digest(shingle_hashes(shingle_words(t.as_py() or ""), size, hashes)) for t in texts], pa.binary())
+        del hashes
+        give_back()
+        return found
 
     return digest(text)
 
@@ -125,6 +129,7 @@ def signatures(docs: DataFrame, size: int, bands: int, rows: int, id_column: str
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
                 [id_column, "n_shingles", "node", "bands"],
             )
+            give_back()
 
     return docs.select(id_column, "text").mapInArrow(sign, f"`{id_column}` {kind}, n_shingles long, node binary, bands array<long>")
 
@@ -200,6 +205,7 @@ def _links(tasks: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
             if found:
                 a, b = zip(*found)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+        give_back()
 
     return dealt.mapInArrow(compare, "a binary, b binary")
 

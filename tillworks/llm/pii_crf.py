@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillworks.llm.memory import give_back
+
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
@@ -317,7 +319,10 @@ def spans(text: Column, model: Model) -> Column:
             every = sorted(base + more, key=lambda x: (KINDS.index(x[0]), x[1]))
             named = (("base", base), ("added", more), ("every", every))
             rows.append({n: [{"kind": k, "start": a, "end": b} for k, a, b in x] for n, x in named})
-        return pa.array(rows, _ARROW_SPANS)
+        found = pa.array(rows, _ARROW_SPANS)
+        del rows
+        give_back()
+        return found
 
     return find(text)
 
@@ -370,6 +375,9 @@ def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:
                     at = max(at, b)
                 text = "".join([*parts, text[at:]])
             out.append(text)
-        return pa.array(out, pa.string())
+        covered = pa.array(out, pa.string())
+        del out
+        give_back()
+        return covered
 
     return docs.withColumn("text", cover(F.col("text")))
