@@ -1,6 +1,7 @@
 """Nearest neighbours against brute force, and the pipeline stage by stage."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_data import ODD, TESTDATA, documents  # noqa: F401
 from pyspark.sql import functions as F
@@ -116,3 +117,23 @@ def test_no_task_pairs_all_rows(spark, sf_dir):
     for df in (minmax_dedup.near_duplicates(docs), line_runs.removed_counts(docs), harmonic_packing.pack_documents(docs, corpus_pipeline.public_tokenizers.path("byte_bpe_50k.json"), 1)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_small_batches_bound_text_a_task_holds(spark):
+    from tillworks.llm.memory import small_batches
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.getAll.get(key)
+    sizes = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches)
+    texts = spark.range(200, numPartitions=1).selectExpr("repeat('x', 100000) AS text")
+    try:
+        spark.conf.unset(key)
+        small_batches(spark, "1m")
+        assert texts.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0] < 2 << 20
+        spark.conf.set(key, "8m")
+        small_batches(spark, "1m")
+        assert spark.conf.get(key) == "8m"  # a bound of the session's own stays
+    finally:
+        spark.conf.unset(key)
+        if before is not None:
+            spark.conf.set(key, before)
