@@ -61,8 +61,15 @@ def read_csv(
     return typed_rows(text, timestamp_pattern)
 
 
-def typed_rows(text: DataFrame, timestamp_pattern: str | None = None) -> DataFrame:
-    """Cast the text columns of the CSV layout and say why a row cannot be loaded."""
+def typed_lines(lines: DataFrame, timestamp_pattern: str | None = None, *more: str) -> DataFrame:
+    """typed_rows of single lines of the layout in the column `line`, with `more` of their columns."""
+    options = {k: str(v) for k, v in CSV_OPTIONS.items() if k in ("sep", "quote", "escape", "mode", "columnNameOfCorruptRecord")}
+    fields = F.from_csv("line", ", ".join(f"`{f.name}` STRING" for f in TEXT_SCHEMA.fields), options)
+    return typed_rows(lines.select(*more, fields.alias("_fields")).select(*more, "_fields.*"), timestamp_pattern, *more)
+
+
+def typed_rows(text: DataFrame, timestamp_pattern: str | None = None, *more: str) -> DataFrame:
+    """Cast the text columns of the CSV layout and say why a row cannot be loaded; `more` columns stay as they are."""
     # With multi_line, a CRLF file leaves the carriage return on the last field of a line.
     last = RAW_COLUMNS[-1]
     text = text.withColumn(last, F.rtrim(F.col(last), F.lit("\r")))
@@ -87,7 +94,7 @@ def typed_rows(text: DataFrame, timestamp_pattern: str | None = None) -> DataFra
     reason = F.when(every != "", every)
     as_csv = F.to_csv(F.struct(*RAW_COLUMNS), {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
     line = F.when(reason.isNotNull(), F.coalesce(F.col(_BROKEN), as_csv))
-    return text.select(*columns, reason.alias("reject_reason"), line.alias("line"))
+    return text.select(*columns, reason.alias("reject_reason"), line.alias("line"), *more)
 
 
 def stage_csv(

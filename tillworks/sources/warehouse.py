@@ -48,7 +48,7 @@ _DIMENSIONS = {
 }
 _SUSPECTS = ("quarantine", "error_samples")
 # What a landing folder's loads leave next to the tables.
-_LANDED = ("staging", "staging_progress", "merged_loads")
+_LANDED = ("staging", "staging_progress", "merged_loads", "repaired")
 _FACT = T.StructType(
     S.TRANSACTIONS.fields
     + [T.StructField("run", T.IntegerType()), T.StructField(MONTH_COLUMN, T.StringType())]
@@ -316,11 +316,11 @@ class Warehouse:
             + ([T.StructField("sample", T.IntegerType())] if name == "error_samples" else [])
             + [T.StructField("run", T.IntegerType()), T.StructField("reason", T.StringType())]
         )
-        if not self._exists(name):
+        if not self.exists(name):
             return typed_row(self.spark, declared, None)
         return self.spark.read.schema(declared).parquet(f"{self.root}/{name}")
 
-    def _exists(self, name: str) -> bool:
+    def exists(self, name: str) -> bool:
         fs, path = self._at(name)
         return fs.exists(path)
 
