@@ -85,6 +85,8 @@ def _csv_load(m: Mart) -> DataFrame:
 _QUERIES: dict[str, Callable[[Mart], DataFrame]] = {
     # loading and profiling of the raw rows
     "csv_load": _csv_load,
+    "csv_rejects": lambda m: m.replayed[0],
+    "csv_replayed": lambda m: m.replayed[1].transactions().drop("sales_month"),
     "raw_scan": lambda m: profile.raw_scan(m.raw),
     "dup_receipts": lambda m: profile.dup_receipts(m.raw),
     "dup_stores": lambda m: profile.dup_stores(m.raw),

@@ -25,11 +25,15 @@ from tillworks.schema import RAW_COLUMNS
 from tillworks.session import shared_dir
 from tillworks.sources.deliveries import deliveries
 from tillworks.sources.warehouse import State, Warehouse
+from tillworks.streaming.new_files import merge_new_files, rejects, replay
 
 # Orders before this day are the first batch of the merge queries. All later orders and all
 # re-deliveries are the second, so the two together are the whole table.
 SECOND_BATCH_FROM = "1998-01-01 00:00:00"
 
+# The tills of one payment method each write a number with its unit, which no column can hold.
+PIECES_METHOD, CURRENCY_METHOD = "1-URGENT", "5-LOW"
+
 
 @dataclass
 class Mart:
@@ -112,6 +116,28 @@ class Mart:
         states["compacted"] = warehouse.state()
         return warehouse, states
 
+    @cached_property
+    def replayed(self) -> tuple[DataFrame, Warehouse]:
+        """All raw rows through a landing folder, some with faults: what was rejected, and the warehouse
+        after the rejected lines were repaired and replayed, twice over."""
+        method, items, amount = F.col("payment_method"), F.col("items_count"), F.col("total_amount_ngn")
+        faulty = {
+            "transaction_date": F.date_format("transaction_date", "yyyy-MM-dd HH:mm:ss"),
+            "items_count": F.when(method == PIECES_METHOD, F.concat(items.cast("string"), F.lit(" pcs"))).otherwise(items.cast("string")),
+            "total_amount_ngn": F.when(method == CURRENCY_METHOD, F.concat(F.lit("NGN "), amount.cast("string"))).otherwise(amount.cast("string")),
+        }
+        landing = f"{self.folder}/landing"
+        self.raw.withColumns(faulty).write.mode("overwrite").csv(
+            landing, header=True, escape='"', encoding="UTF-8", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        )
+        warehouse = Warehouse(self.spark, f"{self.folder}/replayed", recreate=True)
+        merge_new_files(self.spark, warehouse, landing)
+        found = self._saved("rejected_lines", rejects(self.spark, warehouse))
+        repaired = found.select("reject_id", F.regexp_replace("line", " pcs|NGN ", "").alias("line"))
+        for _ in range(2):
+            replay(self.spark, warehouse, repaired)
+        return found, warehouse
+
     @cached_property
     def merged_dimensions(self) -> tuple[DataFrame, DataFrame]:
         """The dimensions once the second batch is merged into the first load."""

@@ -12,7 +12,7 @@ from tillworks.plans.catalog import (
     STORE_TARGET,
     YEAR,
 )
-from tillworks.plans.mart import SECOND_BATCH_FROM
+from tillworks.plans.mart import CURRENCY_METHOD, PIECES_METHOD, SECOND_BATCH_FROM
 
 _RAW = """transaction_id, store_name, city, transaction_date, cashier_id, items_count, total_amount_ngn,
     payment_method, discount_applied, loyalty_points_earned, receipt_number"""
@@ -93,14 +93,15 @@ fact AS ({_resolved("dedup", "stores", "pay", "LEFT")}),
 stores_initial AS ({_stores("pos_raw", "store_name IS NOT NULL AND city IS NOT NULL")})"""
 
 _IS_FIRST = f"redelivery = 0 AND transaction_date < TIMESTAMP '{SECOND_BATCH_FROM}'"
+_IN_PIECES = f"coalesce(payment_method = '{PIECES_METHOD}' AND items_count IS NOT NULL, false)"
+_IN_CURRENCY = f"coalesce(payment_method = '{CURRENCY_METHOD}' AND total_amount_ngn IS NOT NULL, false)"
 
 
-
-def _merged(first_stores: str, first_join: str) -> str:
+def _merged(first_stores: str, first_join: str, is_first: str = _IS_FIRST) -> str:
     """The first batch loaded, the second merged into it."""
     return f""",
-batch1 AS (SELECT {_RAW} FROM pos_all WHERE {_IS_FIRST}),
-batch2 AS (SELECT {_RAW} FROM pos_all WHERE NOT coalesce({_IS_FIRST}, false)),
+batch1 AS (SELECT {_RAW} FROM pos_all WHERE {is_first}),
+batch2 AS (SELECT {_RAW} FROM pos_all WHERE NOT coalesce({is_first}, false)),
 stores1 AS ({_stores("batch1", first_stores)}),
 pay1 AS ({_methods("batch1")}),
 source1 AS ({_dedup("batch1")}),
@@ -134,6 +135,23 @@ fact2 AS (
 # Into tables that an initial load has filled, and into tables that the job itself has filled.
 _MERGED = _merged("store_name IS NOT NULL AND city IS NOT NULL", "INNER")
 _TWO_RUNS = _merged("store_name IS NOT NULL", "LEFT")
+# Lines that can be loaded, then the repaired ones.
+_REPLAYED = _merged("store_name IS NOT NULL", "LEFT", f"NOT {_IN_PIECES} AND NOT {_IN_CURRENCY}")
+
+_REJECTED = f""",
+faulty AS (
+    SELECT {_RAW}, {_IN_PIECES} AS in_pieces, {_IN_CURRENCY} AS in_currency FROM pos_raw
+    WHERE {_IN_PIECES} OR {_IN_CURRENCY}
+),
+rejected_lines AS (
+    SELECT *, array_to_string([coalesce(transaction_id, ''), coalesce(store_name, ''), coalesce(city, ''),
+        coalesce(strftime(transaction_date, '%Y-%m-%d %H:%M:%S'), ''), coalesce(cashier_id, ''),
+        coalesce(CAST(items_count AS VARCHAR), '') || CASE WHEN in_pieces THEN ' pcs' ELSE '' END,
+        CASE WHEN in_currency THEN 'NGN ' ELSE '' END || coalesce(CAST(total_amount_ngn AS VARCHAR), ''),
+        coalesce(payment_method, ''), coalesce(discount_applied, ''),
+        coalesce(CAST(loyalty_points_earned AS VARCHAR), ''), coalesce(receipt_number, '')], ',') AS line
+    FROM faulty
+)"""
 
 _QUARANTINE = f""",
 repeated AS (SELECT receipt_number AS r FROM pos_raw WHERE receipt_number IS NOT NULL
@@ -353,6 +371,18 @@ _MERGE_SELECTS = {
             ON f.known = source2.transaction_id""",
 }
 
+_REPLAY_SELECTS = {"csv_replayed": f"SELECT {_FACT} FROM fact2"}
+
+_REJECT_SELECTS = {
+    "csv_rejects": """SELECT sha256('1:' || line) AS reject_id, CAST(1 AS BIGINT) AS load, line,
+            CASE WHEN in_pieces THEN 'not a int: items_count' ELSE 'not a decimal(12,2): total_amount_ngn' END AS reject_reason,
+            transaction_id, store_name, city, transaction_date, cashier_id,
+            CASE WHEN NOT in_pieces THEN items_count END AS items_count,
+            CASE WHEN NOT in_currency THEN total_amount_ngn END AS total_amount_ngn,
+            payment_method, discount_applied, loyalty_points_earned, receipt_number
+        FROM rejected_lines""",
+}
+
 _QUARANTINE_SELECTS = {
     "quarantine": f"SELECT {_RAW}, reason FROM quarantine",
     "error_samples": f"""SELECT {_RAW}, reason, CAST(rn AS INT) AS sample FROM (
@@ -373,6 +403,8 @@ def oracle_sql() -> dict[str, str]:
         (_MERGE_SELECTS, _BASE + _MERGED),
         (_TWO_RUN_SELECTS, _BASE + _TWO_RUNS),
         (_QUARANTINE_SELECTS, _BASE + _QUARANTINE),
+        (_REPLAY_SELECTS, _BASE + _REPLAYED),
+        (_REJECT_SELECTS, _BASE + _REJECTED),
     ):
         texts.update({name: f"{tables}\n{select}" for name, select in selects.items()})
     # A view has the rows of the report that it saves.
