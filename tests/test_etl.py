@@ -208,5 +208,8 @@ def test_suspects_are_kept_by_run_and_reason(warehouse, raw):
     assert rows_of(kept.groupBy("run", "reason").count()) == [
         (1, "missing transaction_date", 1), (1, "missing transaction_id", 1), (1, "repeated receipt_number", 5),
     ]
+    # A run that was never published shows nothing.
+    warehouse.write_suspects("quarantine", kept.drop("run"), warehouse.new_run())
+    assert warehouse.suspects("quarantine").count() == 7
     samples = warehouse.suspects("error_samples").filter("reason = 'repeated receipt_number'")
     assert sorted(r["sample"] for r in samples.collect()) == [1, 2, 3, 4, 5]

@@ -310,7 +310,7 @@ class Warehouse:
         df.write.mode("overwrite").partitionBy("reason").parquet(f"{self.root}/{name}/run={run}")
 
     def suspects(self, name: str) -> DataFrame:
-        """Quarantined or sampled rows of all runs, with their `run` and `reason`."""
+        """Quarantined or sampled rows of all published runs, with their `run` and `reason`."""
         declared = T.StructType(
             S.RAW.fields
             + ([T.StructField("sample", T.IntegerType())] if name == "error_samples" else [])
@@ -318,7 +318,8 @@ class Warehouse:
         )
         if not self.exists(name):
             return typed_row(self.spark, declared, None)
-        return self.spark.read.schema(declared).parquet(f"{self.root}/{name}")
+        rows = self.spark.read.schema(declared).parquet(f"{self.root}/{name}")
+        return rows.join(self.published().select("run"), "run", "left_semi").select(*declared.fieldNames())
 
     def exists(self, name: str) -> bool:
         fs, path = self._at(name)
