@@ -36,6 +36,17 @@ def bloom_of(keys: DataFrame, key: Column, count: int) -> Bloom:
     return Bloom(saved(words), size)
 
 
+def split_by(rows: DataFrame, key: Column, bloom: Bloom) -> tuple[DataFrame, DataFrame]:
+    """maybe_in, and the other rows: those whose key is surely not in the set. A null key is in one of the two."""
+    marked, hits = rows, F.lit(True)
+    for i, place in enumerate(_places(key, bloom.size)):
+        words = F.broadcast(bloom.words.select(F.col("word").alias(f"_word{i}"), F.col("bits").alias(f"_bits{i}")))
+        marked = marked.join(words, F.shiftright(place, 6) == F.col(f"_word{i}"), "left")
+        bit = F.getbit(F.col(f"_bits{i}"), place.bitwiseAND(F.lit(63)).cast("int"))
+        hits = hits & F.coalesce(bit == 1, F.lit(False))
+    return maybe_in(rows, key, bloom), marked.filter(~hits).select(*rows.columns)
+
+
 def maybe_in(rows: DataFrame, key: Column, bloom: Bloom) -> DataFrame:
     """The rows whose key may be in the set: all that are, and about one in thirty of the others.
 

@@ -2,6 +2,7 @@
 
 The raw rows are staged and run through the daily job into a warehouse under the shared folder,
 as they would be in production; the reports then read those files. Nothing is held in the driver.
+Each table is built when the first query reads it, so a query waits for no table that it has no use for.
 """
 
 import hashlib
@@ -39,8 +40,22 @@ PIECES_METHOD, CURRENCY_METHOD = "1-URGENT", "5-LOW"
 class Mart:
     spark: SparkSession
     folder: str
-    warehouse: Warehouse
-    result: RunResult
+
+    @cached_property
+    def _first_run(self) -> tuple[Warehouse, RunResult]:
+        warehouse = Warehouse(self.spark, f"{self.folder}/warehouse", recreate=True)
+        return warehouse, run_etl(warehouse, self.raw)
+
+    @property
+    def warehouse(self) -> Warehouse:
+        """All raw rows through the daily job."""
+        with _building:
+            return self._first_run[0]
+
+    @property
+    def result(self) -> RunResult:
+        with _building:
+            return self._first_run[1]
 
     @cached_property
     def _delivered(self) -> DataFrame:
@@ -153,19 +168,25 @@ _marts: dict[tuple[str, str], Mart] = {}
 _building = threading.Lock()
 
 
-def build_mart(spark: SparkSession, sf_dir: str, folder: str) -> Mart:
+def stage_mart(spark: SparkSession, sf_dir: str, folder: str) -> Mart:
+    """The raw rows staged; all else is built from them when it is read."""
     deliveries(spark, sf_dir).write.mode("overwrite").parquet(f"{folder}/staging")
-    warehouse = Warehouse(spark, f"{folder}/warehouse", recreate=True)
-    raw = spark.read.parquet(f"{folder}/staging").select(*RAW_COLUMNS)
-    return Mart(spark, folder, warehouse, run_etl(warehouse, raw))
+    return Mart(spark, folder)
+
+
+def build_mart(spark: SparkSession, sf_dir: str, folder: str) -> Mart:
+    """The raw rows staged and run through the daily job."""
+    built = stage_mart(spark, sf_dir, folder)
+    assert built.result.run
+    return built
 
 
 def mart(spark: SparkSession, sf_dir: str) -> Mart:
-    """The mart of this input folder, built at the first call in the session."""
+    """The mart of this input folder, staged at the first call in the session."""
     application = spark.sparkContext.applicationId
     with _building:
         if (application, sf_dir) not in _marts:
             name = hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
             folder = f"{shared_dir(spark)}/tillworks/{application}/{name}"
-            _marts[application, sf_dir] = build_mart(spark, sf_dir, folder)
+            _marts[application, sf_dir] = stage_mart(spark, sf_dir, folder)
         return _marts[application, sf_dir]

@@ -325,6 +325,10 @@ class Warehouse:
         fs, path = self._at(name)
         return fs.exists(path)
 
+    def remove(self, name: str) -> None:
+        fs, path = self._at(name)
+        fs.delete(path, True)
+
     def new_run(self) -> int:
         """A run number that no other writer has or will get."""
         number = max([0, *map(int, self.names_in("runs"))]) + 1

@@ -50,11 +50,11 @@ def staged_since(spark: SparkSession, staging: str, load: int) -> tuple[DataFram
     return tuple(rows.filter(F.col("load") > load) for rows in split_staged(table, "load"))
 
 
-def _repaired(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
+def _repaired(spark: SparkSession, warehouse: Warehouse) -> DataFrame | None:
     """The rows of all replays that were written to their end; `repairs` is the reject_id a row stands for."""
     done = [n for n in warehouse.names_in("repaired") if warehouse.exists(f"repaired/{n}/_SUCCESS")]
     if not done:
-        return typed_row(spark, _REPAIRED, None)
+        return None
     folder = f"{warehouse.root}/repaired"
     return spark.read.schema(_REPAIRED).option("basePath", folder).parquet(*[f"{folder}/{n}" for n in done])
 
@@ -73,11 +73,13 @@ def rejects(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
     still cannot be loaded is a new reject of its own load.
     """
     again = _repaired(spark, warehouse)
-    rows = again.drop("repairs")
+    rows = typed_row(spark, _LOADED, None) if again is None else again.drop("repairs")
     if any(name.startswith("load=") for name in warehouse.names_in("staging")):
         rows = rows.unionByName(spark.read.schema(_LOADED).parquet(f"{warehouse.root}/staging"))
     _, bad = split_staged(rows, "load")
     bad = bad.withColumn("reject_id", F.sha2(F.concat_ws(":", F.col("load").cast("string"), "line"), 256))
+    if again is None:
+        return bad
     return bad.join(again.select(F.col("repairs").alias("reject_id")), "reject_id", "left_anti")
 
 
@@ -92,12 +94,15 @@ def replay(
     merge_new_files, one call at a time. None if there is nothing to merge.
     """
     open_ids = rejects(spark, warehouse).select("reject_id")
-    lines = repaired.select(F.col("reject_id").alias("repairs"), "line").filter("line is not null").distinct()
-    lines = lines.join(open_ids, lines["repairs"] == open_ids["reject_id"], "left_semi")
-    if not lines.isEmpty():
-        load = max([_last_merged(spark, warehouse), *_loads(warehouse)]) + 1
-        rows = typed_lines(lines, timestamp_pattern, "repairs").withColumn("rejected", F.col("reject_reason").isNotNull())
-        rows.write.mode("overwrite").partitionBy("rejected").parquet(f"{warehouse.root}/repaired/load={load}")
+    lines = repaired.select(F.col("reject_id").alias("repairs"), "line").filter("line is not null")
+    # Joined before they are made distinct: both go by the id, so the lines are shuffled once.
+    lines = lines.join(open_ids, lines["repairs"] == open_ids["reject_id"], "left_semi").distinct()
+    folder = f"repaired/load={max([_last_merged(spark, warehouse), *_loads(warehouse)]) + 1}"
+    rows = typed_lines(lines, timestamp_pattern, "repairs").withColumn("rejected", F.col("reject_reason").isNotNull())
+    rows.write.mode("overwrite").partitionBy("rejected").parquet(f"{warehouse.root}/{folder}")
+    if not warehouse.names_in(folder):
+        # Written without looking first whether there is anything: that would work out all lines twice.
+        warehouse.remove(folder)
     return _merge_pending(spark, warehouse)
 
 
@@ -132,7 +137,8 @@ def _last_merged(spark: SparkSession, warehouse: Warehouse) -> int:
 
 def _merge_pending(spark: SparkSession, warehouse: Warehouse) -> RunResult | None:
     merged = _last_merged(spark, warehouse)
-    good, _ = split_staged(_repaired(spark, warehouse), "load")
+    again = _repaired(spark, warehouse)
+    good, _ = split_staged(typed_row(spark, _REPAIRED, None) if again is None else again, "load")
     good = good.filter(F.col("load") > merged)
     if warehouse.exists("staging"):
         good = good.unionByName(staged_since(spark, f"{warehouse.root}/staging", merged)[0])
