@@ -10,6 +10,7 @@ from test_csv_load import line, write
 
 from tillworks.operators.bloom import bloom_of, split_by
 from tillworks.operators.dedup import dedup_transactions
+from tillworks.operators.merge import not_in
 from tillworks.plans.mart import stage_mart
 from tillworks.sources.warehouse import Warehouse
 from tillworks.streaming.new_files import merge_new_files, rejects, replay
@@ -68,3 +69,13 @@ def test_a_mart_builds_what_is_read(spark, tmp_path):
     assert rows_of(mart.raw, "transaction_id") == [("TXN57",), ("TXN57",), ("TXN58",)]
     assert not (tmp_path / "mart" / "warehouse").exists()
     assert rows_of(mart.facts, "transaction_id") == [("TXN57",), ("TXN58",)]
+
+
+def test_a_stored_row_is_shuffled_only_if_the_batch_may_have_its_id(facts, raw):
+    stored = facts(*[{"transaction_id": f"T{i}"} for i in range(100)], {"transaction_id": "T1"}, {"transaction_id": None})
+    kept = not_in(stored, raw({"transaction_id": "t5 "}, {"transaction_id": "T200"}, {"transaction_id": None}))
+    plan = plan_of(kept)
+    others = plan[plan.index("Union") : plan.index("LeftAnti")]
+    assert "LeftOuter" in others or "Inner" in others
+    assert "Exchange hashpartitioning" not in others
+    assert rows_of(kept, "transaction_id") == sorted([(f"T{i}",) for i in range(100) if i != 5] + [("T1",), (None,)], key=repr)

@@ -4,10 +4,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillworks.functions import blank_to_null, city_key, text_key
+from tillworks.operators.bloom import bloom_of, split_by
 from tillworks.operators.dedup import dedup_transactions
 from tillworks.operators.grouping import distinct_spellings, merge_spellings
 from tillworks.operators.ordering import number_rows
 from tillworks.schema import TRANSACTION_COLUMNS
+from tillworks.session import saved
 
 
 def store_keys(raw: DataFrame) -> DataFrame:
@@ -82,9 +84,15 @@ def merge_source(raw: DataFrame, stores: DataFrame, payment_methods: DataFrame)
 
 
 def not_in(target: DataFrame, source: DataFrame) -> DataFrame:
-    """Target rows whose transaction_id the source does not have."""
-    new_ids = source.select(text_key("transaction_id").alias("_id"))
-    return target.join(new_ids, text_key(target["transaction_id"]) == new_ids["_id"], "left_anti")
+    """Target rows whose transaction_id the source does not have.
+
+    Rows that the Bloom filter of the source's ids rules out stay where they lie; the rest are joined by
+    the ids themselves. The source's ids are saved, so that they are worked out once.
+    """
+    new_ids = saved(source.select(text_key("transaction_id").alias("_id")).distinct())
+    key = text_key("transaction_id")
+    doubtful, others = split_by(target, key, bloom_of(new_ids, F.col("_id"), new_ids.count()))
+    return others.unionByName(doubtful.join(new_ids, key == new_ids["_id"], "left_anti"))
 
 
 def upsert_transactions(
@@ -92,4 +100,5 @@ def upsert_transactions(
 ) -> DataFrame:
     """Transactions after the batch: its rows replace those of the same id, the others stay."""
     source = merge_source(raw, stores, payment_methods)
-    return not_in(target.select(*TRANSACTION_COLUMNS), source).unionByName(source)
+    # The batch has the ids of its source and needs no deduplication to tell them; a row without an id matches none.
+    return not_in(target.select(*TRANSACTION_COLUMNS), raw).unionByName(source)
