@@ -71,6 +71,21 @@ def test_a_mart_builds_what_is_read(spark, tmp_path):
     assert rows_of(mart.facts, "transaction_id") == [("TXN57",), ("TXN58",)]
 
 
+def test_the_steps_of_two_runs_are_taken_as_far_as_asked(spark, tmp_path):
+    orders = [(57, "1997-05-01"), (58, "1997-05-02"), (60, "1998-05-01")]
+    mart = stage_mart(spark, order_tables(spark, tmp_path / "tables", orders), str(tmp_path / "mart"))
+    warehouse, state = mart.two_runs("summarized")
+    assert rows_of(warehouse.daily_summary(state), "summary_id", "total_transactions") == [(1, 1), (2, 1), (3, 1)]
+    assert warehouse.table("etl_audit").count() == 2
+    _, repeated = mart.two_runs("repeated")
+    assert rows_of(warehouse.table("etl_audit"), "audit_id", "rows_processed") == [(1, 2), (2, 2), (3, 2)]
+    assert warehouse.state() == repeated and {p.kind for p in repeated.parts} == {"facts", "replaced"}
+    _, compacted = mart.two_runs("compacted")
+    assert {p.kind for p in compacted.parts} == {"facts"}
+    assert rows_of(warehouse.transactions(compacted)) == rows_of(warehouse.transactions(repeated))
+    assert mart.two_runs("summarized")[1] == state
+
+
 def test_a_stored_row_is_shuffled_only_if_the_batch_may_have_its_id(facts, raw):
     stored = facts(*[{"transaction_id": f"T{i}"} for i in range(100)], {"transaction_id": "T1"}, {"transaction_id": None})
     kept = not_in(stored, raw({"transaction_id": "t5 "}, {"transaction_id": "T200"}, {"transaction_id": None}))

@@ -49,14 +49,14 @@ def _run_metrics(m: Mart) -> DataFrame:
 
 def _after_two_runs(table: str, after: str = "merged") -> Callable[[Mart], DataFrame]:
     def read(m: Mart) -> DataFrame:
-        warehouse, states = m.two_runs
-        return getattr(warehouse, table)(states[after]).drop("sales_month")
+        warehouse, state = m.two_runs(after)
+        return getattr(warehouse, table)(state).drop("sales_month")
 
     return read
 
 
 def _audit_counts(m: Mart) -> DataFrame:
-    warehouse, _ = m.two_runs
+    warehouse, _ = m.two_runs("repeated")
     return warehouse.table("etl_audit").select("audit_id", "status", "rows_processed")
 
 
