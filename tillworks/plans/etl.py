@@ -32,7 +32,7 @@ class CheckFailed(RuntimeError):
 def run_etl(warehouse: Warehouse, raw: DataFrame) -> RunResult:
     """Merge a staged batch into stores, payment methods and transactions.
 
-    `raw` is read three times, each time with its own few columns, so pass a table on files rather
+    `raw` is read five times, three of them with only a few columns, so pass a table on files rather
     than a long plan. Running the same batch again changes nothing.
     """
     try:
