@@ -40,6 +40,33 @@ _HEADER = 10
 _NULL = np.uint64(1 << 63)
 _WIDE = int(COUNTS.max())
 _PLAIN = [s for s in range(16) if s != ESCAPE]  # from the narrowest to the widest
+_LIMITS = np.array([1 << int(WIDTHS[s]) for s in _PLAIN], np.uint64)
+#: Place in _PLAIN of the narrowest width that holds an id, for ids of 16 bits; _PLAIN's length means an escape.
+_NEED = np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64), side="right").astype(np.uint8)
+
+
+def _selectors(values: np.ndarray) -> np.ndarray:
+    """The selector of a word that begins at each place, an escape included; ids beyond the end count as zeros.
+
+    One byte an id stands for the width it needs. The widest need of the next 1, 2, 4, ... ids comes by
+    doubling, and that of any number of them from two such runs that overlap.
+    """
+    need = _NEED[np.minimum(values, np.uint64(len(_NEED) - 1)).astype(np.intp)]
+    large = np.flatnonzero(values >= len(_NEED))
+    need[large] = np.searchsorted(_LIMITS, values[large], side="right")
+    size = len(need)
+    widest = [np.concatenate([need, np.zeros(_WIDE, np.uint8)])]
+    while 2 ** len(widest) <= _WIDE:
+        run, half = widest[-1], 2 ** (len(widest) - 1)
+        widest.append(np.maximum(run[:-half], run[half:]))
+    best = np.zeros(size, np.uint8)
+    for at, s in enumerate(_PLAIN):
+        count = int(COUNTS[s])
+        run = widest[count.bit_length() - 1]
+        rest = count - (1 << count.bit_length() - 1)
+        fits = np.maximum(run[:size], run[rest : rest + size]) <= at
+        np.maximum(best, fits.view(np.uint8) * np.uint8(len(_PLAIN) - at), out=best)
+    return np.array([ESCAPE, *reversed(_PLAIN)], np.uint8)[best]
 
 
 def pack_words(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -55,17 +82,8 @@ def pack_words(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndar
     flat = np.zeros(blocks * block, np.uint64)
     flat[:n] = ids
     padded[:, :block] = flat.reshape(blocks, block)
-    limits = np.array([1 << int(WIDTHS[s]) for s in _PLAIN], np.uint64)
-    need = np.searchsorted(limits, padded.ravel(), side="right")  # place in _PLAIN; its length means an escape
-    place = np.arange(blocks * row)
-    chosen = np.full(blocks * row, 15, np.uint8)
-    for at in range(len(_PLAIN) - 2, -1, -1):
-        s = _PLAIN[at]
-        wider = np.where(need > at, place, np.iinfo(np.int64).max)
-        first = np.minimum.accumulate(wider[::-1])[::-1]  # the next place with an id that is too wide
-        chosen[first - place >= COUNTS[s]] = s
-    chosen[need == len(_PLAIN)] = ESCAPE
-    chosen = chosen.reshape(blocks, row)
+    values = padded.ravel()
+    chosen = _selectors(values).reshape(blocks, row)
 
     inside = np.minimum(block, n - np.arange(blocks) * block)
     lanes, steps, at = np.arange(blocks), [], np.zeros(blocks, np.int64)
@@ -78,15 +96,15 @@ def pack_words(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndar
     where = (lanes[:, None] * row + starts)[used]
     selectors = chosen.ravel()[where]
     words = selectors.astype(np.uint64) << np.uint64(60)
-    values = padded.ravel()
     for s in np.unique(selectors):
         mine = np.flatnonzero(selectors == s)
         if s == ESCAPE:
             words[mine] |= np.arange(len(mine), dtype=np.uint64)
         elif WIDTHS[s]:
-            j = np.arange(COUNTS[s])
-            part = values[where[mine][:, None] + j] << (j * WIDTHS[s]).astype(np.uint64)
-            words[mine] |= np.bitwise_or.reduce(part, axis=1)
+            first, word = where[mine], words[mine]
+            for j in range(COUNTS[s]):
+                word |= values[first + j] << np.uint64(j * WIDTHS[s])
+            words[mine] = word
     return words, begin, values[where[selectors == ESCAPE]]
 
 
