@@ -1,5 +1,6 @@
 """Encoding, counting, packing and token files against the libraries themselves."""
 
+import hashlib
 import random
 import time
 import zlib
@@ -85,6 +86,40 @@ def test_round_trip_of_odd_rows(documents):
     assert got == sorted((repr(i), TIKTOKEN.encode_ordinary(t or ""), (t or "").encode()) for i, t in ODD)
 
 
+def test_round_trip_takes_one_python_worker_a_task(documents):
+    both = prefix_bpe.round_trip(documents(*ODD), RANKS, public_tokenizers.PATTERN)
+    assert both._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_columns_equal_the_round_trip(documents):
+    docs = documents(*ODD)
+    ids = docs.select("doc_id", prefix_bpe.encode(F.col("text"), RANKS, public_tokenizers.PATTERN).alias("ids"))
+    apart = ids.select("doc_id", "ids", prefix_bpe.decode(F.col("ids"), RANKS, public_tokenizers.PATTERN).alias("decoded"))
+    both = prefix_bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN)
+    assert both.columns == apart.columns
+    assert sorted(map(repr, both.collect())) == sorted(map(repr, apart.collect()))
+
+
+def test_op1_bounds_the_text_that_a_worker_holds(documents, spark, tmp_path):
+    from tillworks.llm import queries as q
+
+    documents(*ODD).write.parquet(str(tmp_path / "documents.parquet"))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.getAll.get(key)
+    try:
+        spark.conf.unset(key)
+        rows = q.op1_prefix_bpe(spark, str(tmp_path)).collect()
+        assert spark.conf.get(key) == "4m"
+    finally:
+        spark.conf.unset(key)
+        if before is not None:
+            spark.conf.set(key, before)
+    sha = lambda raw: hashlib.sha256(raw).hexdigest()
+    ids = [TIKTOKEN.encode_ordinary(t or "") for _, t in ODD]
+    want = [(i, len(x), sha(" ".join(map(str, x)).encode()), sha((t or "").encode())) for (i, t), x in zip(ODD, ids)]
+    assert sorted(map(repr, map(tuple, rows))) == sorted(map(repr, want))
+
+
 @pytest.mark.parametrize("block_chars", [40, block_join.BLOCK_CHARS])
 def test_counts_of_odd_rows(documents, block_chars):
     got = sorted((repr(r[0]), r[1], r[2]) for r in token_counts.count(documents(*ODD), JSON, block_chars).collect())

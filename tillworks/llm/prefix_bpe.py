@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillworks.llm.library_ids import Memo, stretches
+from tillworks.llm.memory import give_back
 
 _NEVER = 1 << 62
 
@@ -210,15 +211,23 @@ def vocabulary(path: str, pattern: str) -> Vocabulary:
     return Vocabulary(ranks, pattern)
 
 
+def _encoded(v: Vocabulary, texts: pa.Array) -> pa.Array:
+    raw = [v.encode(t.as_py() or "") for t in texts]
+    offsets = np.cumsum([0] + [len(r) // 4 for r in raw]).astype("<i4")
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(raw), "<i4")))
+
+
+def _decoded(v: Vocabulary, lists: pa.Array) -> pa.Array:
+    # One row at a time: a list of all rows' ids would be far larger than the ids.
+    return pa.array([v.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in lists], pa.binary())
+
+
 def encode(text: Column, path: str, pattern: str) -> Column:
     """The ids of a text as an array; a null text counts as empty and has none."""
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def ids(texts: pa.Array) -> pa.Array:
-        v = vocabulary(path, pattern)
-        raw = [v.encode(t.as_py() or "") for t in texts]
-        offsets = np.cumsum([0] + [len(r) // 4 for r in raw]).astype("<i4")
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(raw), "<i4")))
+        return _encoded(vocabulary(path, pattern), texts)
 
     # Else two uses of the column would be two runs of the function.
     return ids.asNondeterministic()(text)
@@ -229,13 +238,29 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
 
     @F.arrow_udf(T.BinaryType())
     def joined(lists: pa.Array) -> pa.Array:
-        v = vocabulary(path, pattern)
-        # One row at a time: a list of all rows' ids would be far larger than the ids.
-        return pa.array([v.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in lists], pa.binary())
+        return _decoded(vocabulary(path, pattern), lists)
 
     return joined(ids)
 
 
+def encode_decode(text: Column, path: str, pattern: str) -> Column:
+    """encode() and decode() of what it gives, as a struct of ids and decoded.
+
+    One Python worker does both, so a task has one vocabulary and one memo; the two columns one after
+    the other would keep two workers a task, and in time each would hold both.
+    """
+
+    @F.arrow_udf(T.StructType().add("ids", T.ArrayType(T.IntegerType())).add("decoded", T.BinaryType()))
+    def both(texts: pa.Array) -> pa.Array:
+        v = vocabulary(path, pattern)
+        ids = _encoded(v, texts)
+        out = pa.StructArray.from_arrays([ids, _decoded(v, ids)], ["ids", "decoded"])
+        give_back()
+        return out
+
+    return both.asNondeterministic()(text)
+
+
 def edit(text: Column, edits: Column, path: str, pattern: str) -> Column:
     """The ids of a text after edits, an array of (start, stop, new) structs applied in turn.
 
@@ -264,5 +289,5 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     Other columns play no part; repeated rows stay apart and an empty table stays empty.
     """
-    encoded = docs.select("doc_id", encode(F.col("text"), path, pattern).alias("ids"))
-    return encoded.withColumn("decoded", decode(F.col("ids"), path, pattern))
+    done = docs.select("doc_id", encode_decode(F.col("text"), path, pattern).alias("done"))
+    return done.select("doc_id", "done.ids", "done.decoded")

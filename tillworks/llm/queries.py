@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillworks.llm import conversation_trie, harmonic_packing, line_runs, minmax_dedup, ngram_difference, periodic_runs, pii_crf, prefix_bpe, quality_bands, robust_graph, run_sql, simple8b, subword_bags, token_counts, trie_sql
-
+from tillworks.llm.memory import small_batches
 from tillworks.session import saved, shared_dir
 
 BPE_JSON = "byte_bpe_50k.json"
@@ -23,6 +23,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)  # the batch, its ids and its decoded bytes stand in the worker and the JVM at once
     docs = _table(spark, sf_dir, "documents")
     done = prefix_bpe.round_trip(docs, public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN)
     return done.select(
