@@ -7,7 +7,7 @@ from llm_data import ODD, TESTDATA, documents  # noqa: F401
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillworks.llm import harmonic_packing, line_runs, minmax_dedup, robust_graph
+from tillworks.llm import harmonic_packing, line_runs, minmax_dedup, quality_bands, robust_graph
 
 
 def exact(rows, queries, k):
@@ -137,3 +137,27 @@ def test_small_batches_bound_text_a_task_holds(spark):
         spark.conf.unset(key)
         if before is not None:
             spark.conf.set(key, before)
+
+
+def test_tasks_of_a_stage_run_a_python_function_once(spark, monkeypatch):
+    def steps(plan):
+        """Python functions that one task runs, at most: an executor keeps a worker for each of them."""
+        below = plan.children()
+        return max([0, *(steps(below.apply(i)) for i in range(below.size()))]) + (plan.nodeName() in ("ArrowEvalPython", "MapInArrow"))
+
+    def noted(df):
+        found.append(steps(df._jdf.queryExecution().optimizedPlan()))
+        return collect(df)
+
+    lines = [f"line {i} has words enough that a run of lines counts as repeated" for i in range(4)]
+    rows = [(i, "\n".join([*lines, f"its own number is {i}"])) for i in range(4)] + [(4, None), (None, "a null id"), (0, "\n".join(lines))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.length("text"))
+    labels = spark.createDataFrame([(0, 1), (1, 1), (2, 0), (None, 1)], "doc_id long, quality int")
+    found, collect = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", noted)
+    bands = quality_bands.fit_bands(docs, labels)
+    assert found == [1]
+    cut = corpus_pipeline._measured(line_runs.dedup_lines(docs, drop_emptied=True), docs)
+    stages = {"quality_rules": quality_bands.keep(docs, bands), "line_dedup": cut, "near_dedup": minmax_dedup.keep_one(docs)}
+    assert {k: steps(df._jdf.queryExecution().optimizedPlan()) for k, df in stages.items()} == dict.fromkeys(stages, 1)
+    assert sorted(r["text"] or "" for r in cut.collect()) == ["", "a null id", *sorted([rows[0][1], *(f"its own number is {i}" for i in (1, 2, 3))])]

@@ -1,5 +1,7 @@
 """Small helpers for the columns the operators work on."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,15 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def once(function: Callable[..., Column]) -> Callable[..., Column]:
+    """The Python function, run only where it is written.
+
+    Spark copies a deterministic one into each filter that it moves or infers below it: a task then has
+    two Python workers for the same values, which stay until their executor has been idle for a minute.
+    """
+    return function.asNondeterministic()
+
+
 def text_of(column: str = "text") -> Column:
     """The text, with null as empty."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillworks.llm.columns import fresh
+from tillworks.llm.columns import fresh, once
 from tillworks.llm.memory import give_back
 from tillworks.operators.ordering import sum_before
 from tillworks.session import saved
@@ -145,7 +145,7 @@ def without_lines(text: Column, lines: Column) -> Column:
         give_back()
         return left
 
-    return cut(text, lines)
+    return once(cut)(text, lines)
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, drop_emptied: bool = False) -> DataFrame:

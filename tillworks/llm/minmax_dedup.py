@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.llm.columns import fresh
+from tillworks.llm.columns import fresh, once
 from tillworks.llm.components import components
 from tillworks.llm.memory import give_back
 from tillworks.session import saved
@@ -105,7 +105,7 @@ def set_digest(text: Column, size: int) -> Column:
         give_back()
         return found
 
-    return digest(text)
+    return once(digest)(text)
 
 
 def _digest(shingles: np.ndarray) -> bytes | None:

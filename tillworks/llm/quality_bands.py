@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillworks.llm.columns import fresh
+from tillworks.llm.columns import fresh, once
 from tillworks.llm.memory import give_back
 
 FEATURES = T.StructType(
@@ -105,7 +105,7 @@ def features(text: Column, chunk_bytes: int = 4096, level: int = 3) -> Column:
         give_back()
         return pa.StructArray.from_arrays([*arrays, chunks], [*names, "chunk_ratios"])
 
-    return measure(text)
+    return once(measure)(text)
 
 
 T_ARROW = pa.struct(
