@@ -161,3 +161,24 @@ def test_tasks_of_a_stage_run_a_python_function_once(spark, monkeypatch):
     stages = {"quality_rules": quality_bands.keep(docs, bands), "line_dedup": cut, "near_dedup": minmax_dedup.keep_one(docs)}
     assert {k: steps(df._jdf.queryExecution().optimizedPlan()) for k, df in stages.items()} == dict.fromkeys(stages, 1)
     assert sorted(r["text"] or "" for r in cut.collect()) == ["", "a null id", *sorted([rows[0][1], *(f"its own number is {i}" for i in (1, 2, 3))])]
+
+
+def test_packing_leaves_nothing_in_a_worker(spark):
+    def held(batches):
+        """MB of this task's worker."""
+        for _ in batches:
+            with open("/proc/self/smaps_rollup") as f:
+                kb = next(int(line.split()[1]) for line in f if line.startswith("Anonymous:"))
+            yield pa.RecordBatch.from_arrays([pa.array([kb // 1024])], ["mb"])
+
+    words = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(12_000)), lambda x: F.md5(F.concat(x.cast("string"), F.lit("of"), F.col("doc_id")))))
+    path = corpus_pipeline.public_tokenizers.path("byte_bpe_50k.json")
+
+    def after(tasks):
+        docs = spark.range(tasks, numPartitions=tasks).select(F.col("id").alias("doc_id"), F.translate(words, "0123456789", "ghijklmnop").alias("text"))
+        harmonic_packing.cut_pieces(docs, path, end_id=1, memo_entries=6_000, keep_encoder=False).write.format("noop").mode("overwrite").save()
+        return spark.range(32, numPartitions=32).mapInArrow(held, "mb long").agg(F.max("mb")).first()[0]
+
+    cores = spark.sparkContext.defaultParallelism
+    few = after(2 * cores)
+    assert after(10 * cores) < few + 20

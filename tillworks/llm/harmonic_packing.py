@@ -54,6 +54,8 @@ def cut_pieces(
 
     def cut(batches):
         encoder, end = library_encoder(path, memo_entries), int(end_id).to_bytes(4, "little")
+        if not keep_encoder:
+            encoder.without_cache()
         for batch in batches:
             row, start, length, crc, total, ids = [], [], [], [], [], []
             for i, text in enumerate(batch.column(1)):
@@ -75,7 +77,7 @@ def cut_pieces(
         if not keep_encoder:
             del encoder
             library_encoder.cache_clear()
-            give_back()
+            give_back(generation=2)  # the encoder and its memos refer to each other
 
     return docs.select("doc_id", "text").mapInArrow(cut, T.StructType(fields)).withColumn("worker", F.spark_partition_id())
 

@@ -105,6 +105,16 @@ class LibraryEncoder:
         self._piece = Memo(self._encode_piece, entries=entries)
         self._later = Memo(lambda word: self._encode_part(" " + word), entries=entries // 5)
 
+    def without_cache(self) -> None:
+        """Turn the library's own cache of words off; the memo has them.
+
+        A thread keeps that cache when its tokenizer is gone, so a worker that loads a tokenizer for each
+        task would gather one cache after the other.
+        """
+        resize = getattr(self._model, "_resize_cache", None)
+        if resize is not None:
+            resize(0)
+
     def _encode_piece(self, piece: str) -> bytes:
         letters = piece.encode().decode("latin-1").translate(_LETTERS)
         return b"".join([t.id.to_bytes(4, "little") for t in self._model.tokenize(letters)])

@@ -20,9 +20,12 @@ def small_batches(spark: SparkSession, size: str = "4m") -> None:
         spark.conf.set(_BATCH_BYTES, size)
 
 
-def give_back() -> None:
-    """Return free memory to the system: else a worker keeps the most that any batch has needed."""
-    gc.collect(0)
+def give_back(generation: int = 0) -> None:
+    """Return free memory to the system: else a worker keeps the most that any batch has needed.
+
+    Objects that refer to each other are looked for up to that generation; 2 has all of them.
+    """
+    gc.collect(generation)
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
     if trim is not None:
